@@ -18,7 +18,8 @@ from recsignals.sources.tables import TABLES  # noqa: E402
 
 
 def _norm(v):
-    if v is None:
+    import pandas as pd
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -34,7 +35,7 @@ def rows_of(pdf):
     pdf = pdf[cols]
     out = []
     for rec in pdf.itertuples(index=False, name=None):
-        out.append(tuple(_norm(None if (isinstance(x, float) and math.isnan(x) and False) else x) for x in rec))
+        out.append(tuple(_norm(x) for x in rec))
     return cols, sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
@@ -63,7 +64,11 @@ def compare(spark, sf_dir, names, con=None, verbose=True):
         t2 = time.time()
         sc, sr = rows_of(spdf)
         oc, orr = rows_of(opdf)
-        ok = sc == oc and len(sr) == len(orr) and sr == orr
+        sk = [spdf[c].dtype.kind for c in sc]
+        ok_ = [opdf[c].dtype.kind for c in oc]
+        ok = sc == oc and sk == ok_ and len(sr) == len(orr) and sr == orr
+        if sc == oc and sk != ok_:
+            print("  dtype kinds differ:", [(c, a, b) for c, a, b in zip(sc, sk, ok_) if a != b])
         results[name] = ok
         if verbose:
             print(f"{name}: {'OK' if ok else 'MISMATCH'} rows={len(sr)}/{len(orr)} "
