@@ -35,6 +35,10 @@ SELECT user_id, k % 10 AS item_id, ts_hour,
   count(CASE WHEN event_type='click' THEN 1 END) AS total_click, count(CASE WHEN event_type='purchase' THEN 1 END) AS total_order,
   count(CASE WHEN event_type='signup' THEN 1 END) AS total_cart, count(CASE WHEN event_type='view' THEN 1 END) AS total_fav
   FROM e_events_x GROUP BY user_id, k % 10, ts_hour""", ("e_events_x",)),
+    "e_user_item_search_log": ("""
+SELECT user_id, k % 10 AS item_id, ts_hour, count(CASE WHEN event_type IN ('view','click') THEN 1 END) AS total_search_impression,
+  count(CASE WHEN event_type='click' THEN 1 END) AS total_search_click FROM e_events_x GROUP BY user_id, k % 10, ts_hour""",
+                               ("e_events_x",)),
     "e_item_daily_log": ("""
 SELECT k AS item_id, date,
   count(CASE WHEN event_type='click' THEN 1 END) AS total_click, count(CASE WHEN event_type='purchase' THEN 1 END) AS total_order,
