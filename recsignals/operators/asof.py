@@ -9,13 +9,15 @@ Plan, built so that a key holding a large share of rows is still spread out:
 1. *probes* — distinct (keys, left time).  The answer depends only on these,
    so duplicated candidates (a popular item shown in many sessions at the
    same hour) collapse before any shuffle (partial aggregation).
-2. probes and right rows are bucketed by time and sorted together inside
-   (keys, bucket); ``last(..., ignorenulls)`` over the running frame finds
-   the latest right row.  Right rows at the probe's own time sort after the
-   probe (strict) or before it (inclusive).
-3. matches from earlier buckets come from a *carry* row at the start of each
-   probed bucket: the latest right row of the last earlier non-empty bucket,
-   found on a table of one row per (key, bucket).
+2. hot keys (more probes + right rows than ``recsignals.hot_key_rows``; see
+   :mod:`recsignals.operators.frames`) get a time bucket as extra partition
+   column, other keys bucket 0.  Probes and right rows are sorted together
+   inside (keys, bucket); ``last(..., ignorenulls)`` over the running frame
+   finds the latest right row.  Right rows at the probe's own time sort
+   after the probe (strict) or before it (inclusive).
+3. for hot keys, matches from earlier buckets come from a *carry* row at
+   the start of each probed bucket: the latest right row of the last earlier
+   non-empty bucket, found on a table of one row per (key, bucket).
 4. the per-probe answers are equi-joined back to the left rows on
    (keys, left time); Spark broadcasts them when its size estimate allows and
    AQE splits skewed join partitions otherwise.
@@ -29,16 +31,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsignals.operators.frames import DEFAULT_BUCKET_US, bucket_of
+from recsignals.operators.frames import DEFAULT_BUCKET_US, bucket_of, hot_key_rows, hot_keys, mark_hot
 from recsignals.functions.expr import micros
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
               right_ts: str | None = None, strict: bool = True,
               right_cols: list[str] | None = None, right_on: list[str] | None = None,
-              bucket_us: int | None = None) -> DataFrame:
+              bucket_us: int | None = None, hot_threshold: int | None = None,
+              probes_from: DataFrame | None = None) -> DataFrame:
     """Left as-of join; adds ``right_cols`` (default: all non-key right
-    columns, including the right time column when it is named differently)."""
+    columns, including the right time column when it is named differently).
+
+    ``probes_from``: a cheaper frame with the same ``on`` / ``left_ts``
+    values as ``left`` (e.g. the stored candidate table when ``left`` is a
+    long chain of joins), so the chain is not evaluated twice."""
     right_ts = right_ts or left_ts
     right_on = right_on or on
     width = int(bucket_us or DEFAULT_BUCKET_US)
@@ -48,23 +55,31 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
             right_cols.append(right_ts)
     kn = [f"__k{i}" for i in range(len(on))]
 
-    probes = (left.select(*[F.col(c).alias(k) for c, k in zip(on, kn)], micros(left_ts).alias("__t"))
+    src = probes_from if probes_from is not None else left
+    threshold = hot_key_rows(left.sparkSession) if hot_threshold is None else hot_threshold
+    probes = (src.select(*[F.col(c).alias(k) for c, k in zip(on, kn)], micros(left_ts).alias("__t"))
               .where(F.col("__t").isNotNull())
               .where(F.lit(True) if not kn else F.expr(" AND ".join(f"{k} IS NOT NULL" for k in kn)))
-              .distinct()
-              .withColumn("__b", bucket_of(F.col("__t"), width)))
+              .distinct())
     rv = F.struct(*[F.col(c) for c in right_cols]).alias("__v")
     rights = (right.select(*[F.col(c).alias(k) for c, k in zip(right_on, kn)],
                            micros(right_ts).alias("__t"), rv)
               .where(F.col("__t").isNotNull())
-              .where(F.lit(True) if not kn else F.expr(" AND ".join(f"{k} IS NOT NULL" for k in kn)))
-              .withColumn("__b", bucket_of(F.col("__t"), width)))
+              .where(F.lit(True) if not kn else F.expr(" AND ".join(f"{k} IS NOT NULL" for k in kn))))
+    hot = hot_keys(probes.select(*kn).unionByName(rights.select(*kn)), kn, threshold)
+
+    def bucketed(d):
+        d = mark_hot(d, kn, hot)
+        return d.withColumn("__b", F.when(F.col("__hot"), bucket_of(F.col("__t"), width))
+                            .otherwise(F.lit(0).cast("bigint")))
+
+    probes = bucketed(probes)
     # (time, features) struct: max() picks the latest time, ties by features
-    rights = rights.withColumn("__m", F.struct("__t", "__v"))
+    rights = bucketed(rights).withColumn("__m", F.struct("__t", "__v"))
 
-    # carry: latest right row of earlier buckets, for each probed bucket
-    last_per_bucket = rights.groupBy(*kn, "__b").agg(F.max("__m").alias("__m"))
-    probed_buckets = probes.select(*kn, "__b").distinct()
+    # carry (hot keys only): latest right row of earlier buckets, per probed bucket
+    last_per_bucket = rights.where(F.col("__hot")).groupBy(*kn, "__b").agg(F.max("__m").alias("__m"))
+    probed_buckets = probes.where(F.col("__hot")).select(*kn, "__b").distinct()
     both = (probed_buckets.withColumn("__m", F.lit(None).cast(last_per_bucket.schema["__m"].dataType))
             .withColumn("__side", F.lit(0))
             .unionByName(last_per_bucket.withColumn("__side", F.lit(1))))

@@ -1,22 +1,24 @@
 """Window frames that stay distributed when one key is hot.
 
 A plain ``Window.partitionBy(key)`` puts every row of a key into one task.
-The helpers here add a time bucket to the partition key and restore the
-cross-bucket part exactly:
-
-* :func:`range_agg` — bounded RANGE frames ``[t+lo, t+hi]``.  Rows that lie
-  within the widest frame of the next bucket are copied into it as *halo*
-  rows (at most one copy per row, since the bucket is at least as wide as the
+Here a counting pass first finds the *hot* keys (more than
+``hot_key_rows`` rows, default 2,000,000; set ``recsignals.hot_key_rows`` in
+the session conf).  Their list holds at most ``rows / hot_key_rows``
+entries, so it is broadcast with a size bound that holds by construction.
+Rows of hot keys get a time bucket as an extra partition column; all other
+rows use bucket 0, i.e. the ordinary per-key window.  The cross-bucket part
+is restored exactly:
+
+* :func:`range_agg` — bounded RANGE frames ``[t+lo, t+hi]``.  Hot rows that
+  lie within the widest frame of the next bucket are copied into it as
+  *halo* rows (at most one copy, since the bucket is at least as wide as the
   frame) and dropped again after the window.
 * :func:`running_agg` — unbounded-preceding frames (``ALL<=`` / ``ALL<``).
-  Per-bucket partial aggregates (map-side combined) are prefix-summed over
-  the few buckets of a key and re-enter the window as one synthetic *carry*
-  row at the start of each bucket.
+  Per-bucket partial aggregates of hot keys are prefix-combined over the
+  buckets of the key and re-enter the window as one synthetic *carry* row
+  at the start of each bucket.
 * :func:`row_index` — 1-based position per key in time order, via the same
   carry row holding the count of earlier buckets.
-
-The carry tables hold one row per (key, bucket): small, and their windows
-are per key over buckets only.
 """
 
 from __future__ import annotations
@@ -27,8 +29,13 @@ from pyspark.sql import functions as F
 from recsignals.functions.expr import DAY_US, micros
 
 DEFAULT_BUCKET_US = 7 * DAY_US
+DEFAULT_HOT_KEY_ROWS = 2_000_000
+
+_T, _B, _H, _K, _HOT = "__t", "__b", "__halo", "__kind", "__hot"
 
-_T, _B, _H, _K = "__t", "__b", "__halo", "__kind"
+
+def hot_key_rows(spark) -> int:
+    return int(spark.conf.get("recsignals.hot_key_rows", str(DEFAULT_HOT_KEY_ROWS)))
 
 
 def bucket_of(t_us: Column, width_us: int) -> Column:
@@ -37,6 +44,28 @@ def bucket_of(t_us: Column, width_us: int) -> Column:
     return ((t_us - F.pmod(t_us, w)) / w).cast("bigint")
 
 
+def hot_keys(key_rows: DataFrame, keys: list[str], threshold: int) -> DataFrame:
+    """Keys with more than ``threshold`` rows (map-side combined count)."""
+    return (key_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") > threshold).select(*keys, F.lit(True).alias(_HOT)))
+
+
+def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """Add boolean ``__hot``.  ``hot`` has at most rows/threshold entries, so
+    the broadcast is bounded by construction."""
+    if not keys:
+        return df.withColumn(_HOT, F.lit(True))
+    return (df.join(F.broadcast(hot), keys, "left")
+            .withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False))))
+
+
+def _with_bucket(df: DataFrame, keys: list[str], ts: str, width: int, threshold: int | None) -> DataFrame:
+    threshold = hot_key_rows(df.sparkSession) if threshold is None else threshold
+    d = df.withColumn(_T, micros(ts))
+    d = mark_hot(d, keys, hot_keys(df.select(*keys), keys, threshold))
+    return d.withColumn(_B, F.when(F.col(_HOT), bucket_of(F.col(_T), width)).otherwise(F.lit(0).cast("bigint")))
+
+
 def _agg(fn: str, c: Column) -> Column:
     return {
         "sum": F.sum, "count": F.count, "avg": F.avg, "mean": F.avg, "min": F.min,
@@ -45,7 +74,8 @@ def _agg(fn: str, c: Column) -> Column:
 
 
 def range_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
-              frames: dict[str, tuple[int, int]], bucket_us: int | None = None) -> DataFrame:
+              frames: dict[str, tuple[int, int]], bucket_us: int | None = None,
+              hot_threshold: int | None = None) -> DataFrame:
     """Add RANGE-frame aggregates over ``ts`` per ``keys``.
 
     ``frames``: label -> (lo_us, hi_us) offsets, e.g. ``{"24h": (-24*H, -1)}``
@@ -55,17 +85,15 @@ def range_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
     """
     widest = max(-lo for lo, _ in frames.values())
     width = max(int(bucket_us or DEFAULT_BUCKET_US), int(widest))
-    t = micros(ts)
-    b0 = bucket_of(t, width)
-    near_next = t >= (b0 + 1) * F.lit(width) - F.lit(int(widest))
-    d = (df.withColumn(_T, t)
-         .withColumn(_H, F.explode(F.when(near_next, F.array(F.lit(0), F.lit(1)))
-                                   .otherwise(F.array(F.lit(0)))))
-         .withColumn(_B, bucket_of(F.col(_T), width) + F.col(_H)))
+    d = _with_bucket(df, keys, ts, width, hot_threshold)
+    near_next = F.col(_HOT) & (F.col(_T) >= (F.col(_B) + 1) * F.lit(width) - F.lit(int(widest)))
+    d = (d.withColumn(_H, F.explode(F.when(near_next, F.array(F.lit(0), F.lit(1)))
+                                    .otherwise(F.array(F.lit(0)))))
+         .withColumn(_B, F.col(_B) + F.col(_H)))
     w = Window.partitionBy(*keys, _B).orderBy(_T)
     outs = [_agg(fn, F.col(c)).over(w.rangeBetween(*frames[fr])).alias(alias)
             for alias, fn, c, fr in specs]
-    return d.select("*", *outs).where(F.col(_H) == 0).drop(_T, _B, _H)
+    return d.select("*", *outs).where(F.col(_H) == 0).drop(_T, _B, _H, _HOT)
 
 
 _NEEDS = {"sum": "sn", "count": "n", "avg": "sn", "mean": "sn", "max": "x", "min": "m",
@@ -73,7 +101,8 @@ _NEEDS = {"sum": "sn", "count": "n", "avg": "sn", "mean": "sn", "max": "x", "min
 
 
 def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
-                include_current: bool = True, bucket_us: int | None = None) -> DataFrame:
+                include_current: bool = True, bucket_us: int | None = None,
+                hot_threshold: int | None = None) -> DataFrame:
     """Unbounded-preceding RANGE aggregates: ``ALL<=`` (peers included) when
     ``include_current`` else ``ALL<`` (strictly earlier times).
 
@@ -89,7 +118,7 @@ def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
     comp = []
     for i, (c, parts) in enumerate(need.items()):
         x = F.lit(1).cast("bigint") if c is None else F.col(c)
-        nm = {p: f"__{p}{i}" for p in parts}
+        nm = {p: f"__{p}{i}" for p in sorted(parts)}
         names[c] = nm
         if "s" in nm:
             comp.append(x.alias(nm["s"]))
@@ -101,16 +130,15 @@ def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
             comp.append(x.alias(nm["m"]))
         if "q" in nm:
             comp.append((x.cast("double") * x.cast("double")).alias(nm["q"]))
-    real = (df.withColumn(_T, micros(ts)).withColumn(_B, bucket_of(F.col(_T), width))
-            .withColumn(_K, F.lit(1)).select("*", *comp))
+    real = _with_bucket(df, keys, ts, width, hot_threshold).withColumn(_K, F.lit(1)).select("*", *comp)
 
     def combine(p, e):
         return F.max(e) if p == "x" else F.min(e) if p == "m" else F.sum(e)
 
-    # per-bucket partial aggregates (map-side combined), then the exclusive
-    # prefix over the buckets of a key: one small row per (key, bucket)
+    # hot keys only: per-bucket partial aggregates, then the exclusive prefix
+    # over the buckets of the key (one small row per (key, bucket))
     allp = [(p, n) for nm in names.values() for p, n in nm.items()]
-    totals = real.groupBy(*keys, _B).agg(*[combine(p, F.col(n)).alias(n) for p, n in allp])
+    totals = real.where(F.col(_HOT)).groupBy(*keys, _B).agg(*[combine(p, F.col(n)).alias(n) for p, n in allp])
     wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     carry = (totals.select(*keys, _B, F.count(F.lit(1)).over(wp).alias("__prior"),
                            *[combine(p, F.col(n)).over(wp).alias(n) for p, n in allp])
@@ -140,17 +168,18 @@ def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
             var = (a["q"] - S * S / N) / (N - 1)
             e = F.when(N > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
         outs.append(e.alias(alias))
-    helper = [_T, _B, _K] + [n for _, n in allp]
+    helper = [_T, _B, _K, _HOT] + [n for _, n in allp]
     return u.select("*", *outs).where(F.col(_K) == 1).drop(*helper)
 
 
 def row_index(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str] | None = None,
-              alias: str = "row_idx", bucket_us: int | None = None) -> DataFrame:
+              alias: str = "row_idx", bucket_us: int | None = None,
+              hot_threshold: int | None = None) -> DataFrame:
     """1-based row position per key ordered by (ts, *tiebreak)."""
     width = int(bucket_us or DEFAULT_BUCKET_US)
-    real = (df.withColumn(_T, micros(ts)).withColumn(_B, bucket_of(F.col(_T), width))
+    real = (_with_bucket(df, keys, ts, width, hot_threshold)
             .withColumn(_K, F.lit(1)).withColumn("__n", F.lit(1).cast("bigint")))
-    totals = real.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
+    totals = real.where(F.col(_HOT)).groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
     wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     carry = (totals.select(*keys, _B, F.sum("__n").over(wp).alias("__n")).where(F.col("__n").isNotNull())
              .withColumn(_T, F.col(_B) * F.lit(width) - F.lit(1)).withColumn(_K, F.lit(0)))
@@ -158,4 +187,4 @@ def row_index(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str] | Non
     order = [F.col(_T), F.col(_K)] + [F.col(c).asc_nulls_first() for c in (tiebreak or [])]
     w = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (u.select("*", F.sum("__n").over(w).alias(alias)).where(F.col(_K) == 1)
-            .drop(_T, _B, _K, "__n"))
+            .drop(_T, _B, _K, _HOT, "__n"))

@@ -56,11 +56,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def stage(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Alias of :func:`materialize` used inside plans before a fan-out."""
+    return materialize(df, name)
+
+
+def write_stage(df: DataFrame, name: str | None = None) -> str:
+    """Write ``df`` as parquet under the shared checkpoint folder; return the path."""
+    base = checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/tables/{name or 'stage'}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     """Cut lineage by writing parquet under the shared checkpoint folder and
     reading it back.  Survives executor loss (unlike local checkpoints)."""
-    spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name or 'stage'}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(write_stage(df, name))

@@ -96,12 +96,30 @@ def fixture_cte(names) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def register_fixtures(spark: SparkSession, sf_dir: str, names=None) -> None:
+# (application id, sf_dir, name) -> parquet path of the materialised fixture
+_MATERIALISED: dict[tuple[str, str, str], str] = {}
+
+
+def register_fixtures(spark: SparkSession, sf_dir: str, names=None, materialise: bool = True) -> None:
+    """Register fixture views.  With ``materialise`` each fixture is written
+    once per session under the shared checkpoint folder and read back, so
+    it behaves like the parquet input table it stands for (and repeated
+    references do not recompute its joins and group-bys)."""
+    from recsignals.session import write_stage
+
     register_tables(spark, sf_dir)
+    app = spark.sparkContext.applicationId
     for n in _closure(names or list(FIXTURE_SQL)):
+        key = (app, sf_dir, n)
+        if materialise and key in _MATERIALISED:
+            spark.read.parquet(_MATERIALISED[key]).createOrReplaceTempView(n)
+            continue
         df = spark.sql(FIXTURE_SQL[n][0])
         for c in _TS_COLS.get(n, ()):
             df = df.withColumn(c, df[c].cast("timestamp_ntz"))
+        if materialise and n != "e_events_x":
+            _MATERIALISED[key] = write_stage(df, f"fixture-{n}")
+            df = spark.read.parquet(_MATERIALISED[key])
         df.createOrReplaceTempView(n)
 
 
