@@ -23,7 +23,8 @@ Plan, built so that a key holding a large share of rows is still spread out:
    AQE splits skewed join partitions otherwise.
 
 Ties between right rows with the same time resolve to the greatest feature
-struct, so results are deterministic.
+struct, so results are deterministic: the running frame keeps the maximum
+of struct(time, features), and time is its first field.
 """
 
 from __future__ import annotations
@@ -39,13 +40,16 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
               right_ts: str | None = None, strict: bool = True,
               right_cols: list[str] | None = None, right_on: list[str] | None = None,
               bucket_us: int | None = None, hot_threshold: int | None = None,
-              probes_from: DataFrame | None = None) -> DataFrame:
+              probes_from: DataFrame | None = None, stage_right: bool = False) -> DataFrame:
     """Left as-of join; adds ``right_cols`` (default: all non-key right
     columns, including the right time column when it is named differently).
 
     ``probes_from``: a cheaper frame with the same ``on`` / ``left_ts``
     values as ``left`` (e.g. the stored candidate table when ``left`` is a
-    long chain of joins), so the chain is not evaluated twice."""
+    long chain of joins), so the chain is not evaluated twice.
+    ``stage_right``: write the (projected) right side to the checkpoint
+    folder first; use it when ``right`` is itself a computed feature table,
+    which this operator reads more than once."""
     right_ts = right_ts or left_ts
     right_on = right_on or on
     width = int(bucket_us or DEFAULT_BUCKET_US)
@@ -55,6 +59,9 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
             right_cols.append(right_ts)
     kn = [f"__k{i}" for i in range(len(on))]
 
+    if stage_right:
+        from recsignals.session import stage
+        right = stage(right.select(*dict.fromkeys([*right_on, right_ts, *right_cols])), "asof-right")
     src = probes_from if probes_from is not None else left
     threshold = hot_key_rows(left.sparkSession) if hot_threshold is None else hot_threshold
     probes = (src.select(*[F.col(c).alias(k) for c, k in zip(on, kn)], micros(left_ts).alias("__t"))
@@ -70,33 +77,37 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
 
     def bucketed(d):
         d = mark_hot(d, kn, hot)
+        if hot is None:
+            return d.withColumn("__b", F.lit(0).cast("bigint"))
         return d.withColumn("__b", F.when(F.col("__hot"), bucket_of(F.col("__t"), width))
                             .otherwise(F.lit(0).cast("bigint")))
 
     probes = bucketed(probes)
     # (time, features) struct: max() picks the latest time, ties by features
     rights = bucketed(rights).withColumn("__m", F.struct("__t", "__v"))
-
-    # carry (hot keys only): latest right row of earlier buckets, per probed bucket
-    last_per_bucket = rights.where(F.col("__hot")).groupBy(*kn, "__b").agg(F.max("__m").alias("__m"))
-    probed_buckets = probes.where(F.col("__hot")).select(*kn, "__b").distinct()
-    both = (probed_buckets.withColumn("__m", F.lit(None).cast(last_per_bucket.schema["__m"].dataType))
-            .withColumn("__side", F.lit(0))
-            .unionByName(last_per_bucket.withColumn("__side", F.lit(1))))
-    wb = Window.partitionBy(*kn).orderBy("__b", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    carry = (both.select(*kn, "__b", "__side", F.last("__m", ignorenulls=True).over(wb).alias("__m"))
-             .where((F.col("__side") == 0) & F.col("__m").isNotNull())
-             .select(*kn, "__b", F.lit(-1).cast("bigint").alias("__o"), "__m"))
+    mtype = rights.schema["__m"].dataType
 
     # main pass inside (keys, bucket): carry first, then time order
     probe_order, right_order = (0, 1) if strict else (1, 0)
     main = (probes.select(*kn, "__b", F.col("__t").alias("__o"), F.lit(probe_order).alias("__side"),
-                          F.lit(None).cast(last_per_bucket.schema["__m"].dataType).alias("__m"))
+                          F.lit(None).cast(mtype).alias("__m"))
             .unionByName(rights.select(*kn, "__b", F.col("__t").alias("__o"),
-                                       F.lit(right_order).alias("__side"), "__m"))
-            .unionByName(carry.withColumn("__side", F.lit(-1))))
-    w = Window.partitionBy(*kn, "__b").orderBy("__o", "__side", "__m").rowsBetween(Window.unboundedPreceding, 0)
-    answers = (main.select(*kn, "__o", "__side", F.last("__m", ignorenulls=True).over(w).alias("__m"))
+                                       F.lit(right_order).alias("__side"), "__m")))
+    if hot is not None:
+        # carry (hot keys only): latest right row of earlier buckets, per probed bucket
+        last_per_bucket = rights.where(F.col("__hot")).groupBy(*kn, "__b").agg(F.max("__m").alias("__m"))
+        probed_buckets = probes.where(F.col("__hot")).select(*kn, "__b").distinct()
+        both = (probed_buckets.withColumn("__m", F.lit(None).cast(mtype)).withColumn("__side", F.lit(0))
+                .unionByName(last_per_bucket.withColumn("__side", F.lit(1))))
+        wb = Window.partitionBy(*kn).orderBy("__b", "__side").rowsBetween(Window.unboundedPreceding, 0)
+        carry = (both.select(*kn, "__b", "__side", F.last("__m", ignorenulls=True).over(wb).alias("__m"))
+                 .where((F.col("__side") == 0) & F.col("__m").isNotNull())
+                 .select(*kn, "__b", F.lit(-1).cast("bigint").alias("__o"), "__m"))
+        main = main.unionByName(carry.withColumn("__side", F.lit(-1)))
+    # running max of the (time, features) struct = latest right row so far,
+    # ties by features; the sort itself is on two integer columns only
+    w = Window.partitionBy(*kn, "__b").orderBy("__o", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    answers = (main.select(*kn, "__o", "__side", F.max("__m").over(w).alias("__m"))
                .where(F.col("__side") == probe_order)
                .select(*kn, F.col("__o").alias("__ta"), F.col("__m.__v").alias("__v")))
 

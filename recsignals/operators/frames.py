@@ -44,26 +44,41 @@ def bucket_of(t_us: Column, width_us: int) -> Column:
     return ((t_us - F.pmod(t_us, w)) / w).cast("bigint")
 
 
-def hot_keys(key_rows: DataFrame, keys: list[str], threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows (map-side combined count)."""
-    return (key_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") > threshold).select(*keys, F.lit(True).alias(_HOT)))
-
-
-def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    """Add boolean ``__hot``.  ``hot`` has at most rows/threshold entries, so
-    the broadcast is bounded by construction."""
+def hot_keys(key_rows: DataFrame, keys: list[str], threshold: int) -> DataFrame | None:
+    """Keys with more than ``threshold`` rows, or None when there are none.
+
+    The count is map-side combined; the result has at most
+    ``rows / threshold`` entries, so bringing it to the driver and
+    broadcasting it back is bounded by construction (the same path a
+    broadcast join takes).  Knowing that no key is hot lets the caller plan
+    the plain per-key window."""
+    spark = key_rows.sparkSession
+    found = (key_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+             .where(F.col("__n") > threshold).select(*keys).collect())
+    if not found:
+        return None
+    return spark.createDataFrame(found, key_rows.select(*keys).schema).withColumn(_HOT, F.lit(True))
+
+
+def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
+    """Add boolean ``__hot`` from the (small, bounded) hot-key list."""
+    if hot is None:
+        return df.withColumn(_HOT, F.lit(False))
     if not keys:
         return df.withColumn(_HOT, F.lit(True))
     return (df.join(F.broadcast(hot), keys, "left")
             .withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False))))
 
 
-def _with_bucket(df: DataFrame, keys: list[str], ts: str, width: int, threshold: int | None) -> DataFrame:
+def _with_bucket(df: DataFrame, keys: list[str], ts: str, width: int,
+                 threshold: int | None) -> tuple[DataFrame, bool]:
     threshold = hot_key_rows(df.sparkSession) if threshold is None else threshold
-    d = df.withColumn(_T, micros(ts))
-    d = mark_hot(d, keys, hot_keys(df.select(*keys), keys, threshold))
-    return d.withColumn(_B, F.when(F.col(_HOT), bucket_of(F.col(_T), width)).otherwise(F.lit(0).cast("bigint")))
+    hot = hot_keys(df.select(*keys), keys, threshold)
+    d = mark_hot(df.withColumn(_T, micros(ts)), keys, hot)
+    if hot is None:
+        return d.withColumn(_B, F.lit(0).cast("bigint")), False
+    return d.withColumn(_B, F.when(F.col(_HOT), bucket_of(F.col(_T), width))
+                        .otherwise(F.lit(0).cast("bigint"))), True
 
 
 def _agg(fn: str, c: Column) -> Column:
@@ -85,11 +100,14 @@ def range_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
     """
     widest = max(-lo for lo, _ in frames.values())
     width = max(int(bucket_us or DEFAULT_BUCKET_US), int(widest))
-    d = _with_bucket(df, keys, ts, width, hot_threshold)
-    near_next = F.col(_HOT) & (F.col(_T) >= (F.col(_B) + 1) * F.lit(width) - F.lit(int(widest)))
-    d = (d.withColumn(_H, F.explode(F.when(near_next, F.array(F.lit(0), F.lit(1)))
-                                    .otherwise(F.array(F.lit(0)))))
-         .withColumn(_B, F.col(_B) + F.col(_H)))
+    d, split = _with_bucket(df, keys, ts, width, hot_threshold)
+    if split:
+        near_next = F.col(_HOT) & (F.col(_T) >= (F.col(_B) + 1) * F.lit(width) - F.lit(int(widest)))
+        d = (d.withColumn(_H, F.explode(F.when(near_next, F.array(F.lit(0), F.lit(1)))
+                                        .otherwise(F.array(F.lit(0)))))
+             .withColumn(_B, F.col(_B) + F.col(_H)))
+    else:
+        d = d.withColumn(_H, F.lit(0))
     w = Window.partitionBy(*keys, _B).orderBy(_T)
     outs = [_agg(fn, F.col(c)).over(w.rangeBetween(*frames[fr])).alias(alias)
             for alias, fn, c, fr in specs]
@@ -130,7 +148,8 @@ def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
             comp.append(x.alias(nm["m"]))
         if "q" in nm:
             comp.append((x.cast("double") * x.cast("double")).alias(nm["q"]))
-    real = _with_bucket(df, keys, ts, width, hot_threshold).withColumn(_K, F.lit(1)).select("*", *comp)
+    real, split = _with_bucket(df, keys, ts, width, hot_threshold)
+    real = real.withColumn(_K, F.lit(1)).select("*", *comp)
 
     def combine(p, e):
         return F.max(e) if p == "x" else F.min(e) if p == "m" else F.sum(e)
@@ -138,14 +157,16 @@ def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
     # hot keys only: per-bucket partial aggregates, then the exclusive prefix
     # over the buckets of the key (one small row per (key, bucket))
     allp = [(p, n) for nm in names.values() for p, n in nm.items()]
-    totals = real.where(F.col(_HOT)).groupBy(*keys, _B).agg(*[combine(p, F.col(n)).alias(n) for p, n in allp])
-    wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (totals.select(*keys, _B, F.count(F.lit(1)).over(wp).alias("__prior"),
-                           *[combine(p, F.col(n)).over(wp).alias(n) for p, n in allp])
-             .where(F.col("__prior") > 0).drop("__prior")
-             .withColumn(_T, F.col(_B) * F.lit(width) - F.lit(1)).withColumn(_K, F.lit(0)))
-
-    u = real.unionByName(carry, allowMissingColumns=True)
+    if split:
+        totals = real.where(F.col(_HOT)).groupBy(*keys, _B).agg(*[combine(p, F.col(n)).alias(n) for p, n in allp])
+        wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+        carry = (totals.select(*keys, _B, F.count(F.lit(1)).over(wp).alias("__prior"),
+                               *[combine(p, F.col(n)).over(wp).alias(n) for p, n in allp])
+                 .where(F.col("__prior") > 0).drop("__prior")
+                 .withColumn(_T, F.col(_B) * F.lit(width) - F.lit(1)).withColumn(_K, F.lit(0)))
+        u = real.unionByName(carry, allowMissingColumns=True)
+    else:
+        u = real
     hi = 0 if include_current else -1
     w = Window.partitionBy(*keys, _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, hi)
     acc = {c: {p: combine(p, F.col(n)).over(w) for p, n in nm.items()} for c, nm in names.items()}
@@ -177,13 +198,15 @@ def row_index(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str] | Non
               hot_threshold: int | None = None) -> DataFrame:
     """1-based row position per key ordered by (ts, *tiebreak)."""
     width = int(bucket_us or DEFAULT_BUCKET_US)
-    real = (_with_bucket(df, keys, ts, width, hot_threshold)
-            .withColumn(_K, F.lit(1)).withColumn("__n", F.lit(1).cast("bigint")))
-    totals = real.where(F.col(_HOT)).groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
-    wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (totals.select(*keys, _B, F.sum("__n").over(wp).alias("__n")).where(F.col("__n").isNotNull())
-             .withColumn(_T, F.col(_B) * F.lit(width) - F.lit(1)).withColumn(_K, F.lit(0)))
-    u = real.unionByName(carry, allowMissingColumns=True)
+    real, split = _with_bucket(df, keys, ts, width, hot_threshold)
+    real = real.withColumn(_K, F.lit(1)).withColumn("__n", F.lit(1).cast("bigint"))
+    u = real
+    if split:
+        totals = real.where(F.col(_HOT)).groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
+        wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+        carry = (totals.select(*keys, _B, F.sum("__n").over(wp).alias("__n")).where(F.col("__n").isNotNull())
+                 .withColumn(_T, F.col(_B) * F.lit(width) - F.lit(1)).withColumn(_K, F.lit(0)))
+        u = real.unionByName(carry, allowMissingColumns=True)
     order = [F.col(_T), F.col(_K)] + [F.col(c).asc_nulls_first() for c in (tiebreak or [])]
     w = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (u.select("*", F.sum("__n").over(w).alias(alias)).where(F.col(_K) == 1)

@@ -98,6 +98,8 @@ def fixture_cte(names) -> str:
 
 # (application id, sf_dir, name) -> parquet path of the materialised fixture
 _MATERIALISED: dict[tuple[str, str, str], str] = {}
+# (application id, view name) -> sf_dir the temp view currently points at
+_CURRENT: dict[tuple[str, str], str] = {}
 
 
 def register_fixtures(spark: SparkSession, sf_dir: str, names=None, materialise: bool = True) -> None:
@@ -107,12 +109,16 @@ def register_fixtures(spark: SparkSession, sf_dir: str, names=None, materialise:
     references do not recompute its joins and group-bys)."""
     from recsignals.session import write_stage
 
-    register_tables(spark, sf_dir)
     app = spark.sparkContext.applicationId
+    if _CURRENT.get((app, "_tables")) != sf_dir or not spark.catalog.tableExists("events"):
+        register_tables(spark, sf_dir)
+        _CURRENT[(app, "_tables")] = sf_dir
     for n in _closure(names or list(FIXTURE_SQL)):
         key = (app, sf_dir, n)
         if materialise and key in _MATERIALISED:
-            spark.read.parquet(_MATERIALISED[key]).createOrReplaceTempView(n)
+            if _CURRENT.get((app, n)) != sf_dir or not spark.catalog.tableExists(n):
+                spark.read.parquet(_MATERIALISED[key]).createOrReplaceTempView(n)
+                _CURRENT[(app, n)] = sf_dir
             continue
         df = spark.sql(FIXTURE_SQL[n][0])
         for c in _TS_COLS.get(n, ()):
@@ -121,6 +127,7 @@ def register_fixtures(spark: SparkSession, sf_dir: str, names=None, materialise:
             _MATERIALISED[key] = write_stage(df, f"fixture-{n}")
             df = spark.read.parquet(_MATERIALISED[key])
         df.createOrReplaceTempView(n)
+        _CURRENT[(app, n)] = sf_dir
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
