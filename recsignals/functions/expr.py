@@ -74,12 +74,18 @@ def array_median(cols) -> Column:
 
 def finalize(df: DataFrame, digits: int = 6) -> DataFrame:
     """Output hygiene for oracle comparison: round floating columns, widen
-    integer columns to BIGINT, decimals to double."""
+    integer columns to BIGINT, decimals to double.
+
+    Rounding is ``round(x * 10^d) / 10^d`` (half away from zero on the
+    scaled double), the same arithmetic SQL engines such as DuckDB use for
+    ``ROUND(x, d)``, so both sides agree even on exact half-way values."""
+    scale = float(10 ** digits)
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits)
+            x = c.cast("double")
+            c = F.when(F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(F.round(x * scale, 0) / scale)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.BooleanType):
