@@ -1,6 +1,6 @@
 """Imports every query module so the registry is complete."""
 
-from recsignals.plans import q_affinity, q_counters, q_decay, q_history  # noqa: F401
+from recsignals.plans import q_affinity, q_catalog, q_counters, q_decay, q_history  # noqa: F401
 from recsignals.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
