@@ -1,0 +1,2 @@
+"""The feature set has no streaming part: no watermarks, windows over event
+time or state across micro-batches are needed, so nothing lives here."""
