@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsignals.operators.groups import group_stats, rank_within
+from recsignals.operators.groups import group_stats, has_hot_group, rank_within
 
 
 def candidate_count(df: DataFrame, session: str, item: str) -> DataFrame:
@@ -33,8 +33,9 @@ def session_stats(df: DataFrame, session: str, item: str, measures: dict[str, st
         "is_cheapest_in_session": F.when(F.col(price) == F.col(f"session_min_{ps}"), 1).otherwise(0),
         "is_most_expensive_in_session": F.when(F.col(price) == F.col(f"session_max_{ps}"), 1).otherwise(0)})
     src = d
+    plain = not has_hot_group(df, [session])
     for short, c in measures.items():
-        d = rank_within(d, [session], c, f"{short}_rank", ascending=True, nulls="last", source=src)
+        d = rank_within(d, [session], c, f"{short}_rank", ascending=True, nulls="last", source=src, plain=plain)
         d = d.withColumn(f"{short}_diff_percent",
                          100.0 * (F.col(c) - F.col(f"session_avg_{short}")) / F.nullif(F.col(f"session_avg_{short}"), F.lit(0)))
     return d

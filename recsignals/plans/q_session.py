@@ -167,3 +167,16 @@ def q_auc_ranksum(spark, sf_dir):
     """Rank-sum ROC AUC of the stack-B target against the order label."""
     d = S.weighted_target(spark.table("o_base"), P.TARGET_WEIGHTS_B, "score")
     return S.auc_ranksum(d, "score", "ordered")
+
+
+@query("q_corr_prune", fixtures=("o_base", "o_price_log"))
+def q_corr_prune(spark, sf_dir):
+    """Correlation pruning of candidate price features against the stack-A
+    target, threshold 0.98 (C32; rows-only check)."""
+    from recsignals.operators.selection import prune_correlated
+
+    feats = ["original_price", "selling_price", "discounted_price", "rate_count", "review_count",
+             "review_media_count", "rate_avg"]
+    base = S.weighted_target(spark.table("o_base"), P.TARGET_WEIGHTS_A, "target").select("row_id", "item_id", "ts", "target")
+    j = asof_join(base, spark.table("o_price_log"), ["item_id"], "ts", right_ts="update_date", right_cols=feats)
+    return prune_correlated(j.na.drop(subset=feats), feats, "target", 0.98)
