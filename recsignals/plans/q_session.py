@@ -180,3 +180,34 @@ def q_corr_prune(spark, sf_dir):
     base = S.weighted_target(spark.table("o_base"), P.TARGET_WEIGHTS_A, "target").select("row_id", "item_id", "ts", "target")
     j = asof_join(base, spark.table("o_price_log"), ["item_id"], "ts", right_ts="update_date", right_cols=feats)
     return prune_correlated(j.na.drop(subset=feats), feats, "target", 0.98)
+
+
+_RANK_FEATS = ["original_price", "selling_price", "discounted_price", "rate_count", "review_count",
+               "review_media_count", "rate_avg"]
+
+
+def _ranker_data(spark):
+    base = S.weighted_target(spark.table("o_base"), P.TARGET_WEIGHTS_A, "target")
+    return asof_join(base.select("row_id", "session_id", "item_id", "ts", "target"), spark.table("o_price_log"),
+                     ["item_id"], "ts", right_ts="update_date", right_cols=_RANK_FEATS)
+
+
+@query("q_ranker_scores", fixtures=("o_base", "o_price_log"))
+def q_ranker_scores(spark, sf_dir):
+    """Train on rows before the last date, score every candidate (C34, C35; rows-only)."""
+    from recsignals.operators.ranker import score, train_session_ranker
+    from recsignals.session import stage
+
+    data = stage(_ranker_data(spark), "ranker-data")
+    train, _ = S.time_split(data, "ts")
+    model = train_session_ranker(train, _RANK_FEATS, "target")
+    return score(model, data, _RANK_FEATS, ["row_id", "session_id"])
+
+
+@query("q_importance_cut", fixtures=("o_base", "o_price_log"))
+def q_importance_cut(spark, sf_dir):
+    """Features covering 99 % of the trained model's importance (C33; rows-only)."""
+    from recsignals.operators.ranker import importance_cut, train_session_ranker
+
+    model = train_session_ranker(_ranker_data(spark), _RANK_FEATS, "target")
+    return importance_cut(spark, model, _RANK_FEATS, 0.99)
