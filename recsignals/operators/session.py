@@ -111,3 +111,59 @@ def auc_ranksum(df: DataFrame, score: str, label: str) -> DataFrame:
               F.sum(F.col("__n") - F.col("__p")).alias("nn"))
     return t.select(((F.col("rs") - F.col("np") * (F.col("np") + 1) / 2.0) / (F.col("np") * F.col("nn"))).alias("auc"),
                     F.col("np").alias("n_pos"), F.col("nn").alias("n_neg"))
+
+
+def session_ranks(df: DataFrame, session: str, tables: list[str], sitewide_table: str, cols_search: list[str],
+                  cols_sitewide: list[str], weights: dict[str, float], table_weights: dict[str, float],
+                  price_columns: list[str]) -> DataFrame:
+    """In-session ranks of item-history columns (C10; W33, W34; F12).
+
+    Columns are discovered by name: for every ordered pair of a table's
+    columns, the average ratio and both raw columns are listed when present,
+    so raw columns repeat (twice per pair) and count with that multiplicity
+    in the mean / median rank.  Ranks are descending, ties share the lowest
+    rank, nulls stay null.  Price log columns rank ascending, quality
+    columns descending (only those present)."""
+    from recsignals.functions.expr import array_mean, array_median, nz_sum
+
+    cols = set(df.columns)
+    existing = []
+    for t in tables:
+        tc = cols_sitewide if t == sitewide_table else cols_search
+        for c1 in tc:
+            for c2 in tc:
+                if c1 != c2:
+                    for name in (f"{t}_{c1}_to_{c2}_avg_ratio", f"{t}_{c1}", f"{t}_{c2}"):
+                        if name in cols:
+                            existing.append(name)
+    plain = not has_hot_group(df, [session])
+    src = df
+    for c in dict.fromkeys(existing):
+        df = rank_within(df, [session], c, f"rank_{session}_{c}", ascending=False, nulls="keep", source=src,
+                         plain=plain)
+    wranks = []
+    for t in tables:
+        tc = cols_sitewide if t == sitewide_table else cols_search
+        if all(f"{t}_{c}" in cols for c in tc):
+            df = df.withColumn(f"{t}_weighted_score",
+                               nz_sum([F.col(f"{t}_{c}") * weights[c] for c in tc]))
+            df = rank_within(df, [session], f"{t}_weighted_score", f"rank_{session}_{t}_weighted_score",
+                             ascending=False, nulls="keep", plain=plain)
+            wranks.append(f"rank_{session}_{t}_weighted_score")
+    rank_cols = wranks + [f"rank_{session}_{c}" for c in existing]
+    present = [t for t in tables if f"{t}_weighted_score" in df.columns]
+    df = df.withColumns({
+        "avg_content_search_and_sitewide_rank": array_mean(rank_cols),
+        "median_content_search_and_sitewide_rank": array_median(rank_cols),
+        "total_content_search_and_sitewide_weighted_score":
+            nz_sum([F.col(f"{t}_weighted_score") * table_weights[t] for t in present])})
+    low = [f"{c}_log" for c in price_columns]
+    high = ["discount_rate", "selling_rate", "content_rate_avg_bayesian", "content_review_count_norm",
+            "content_review_wth_media_count_norm", "wilson_score_rate_to_review", "wilson_score_review_to_media"]
+    for c in low:
+        if c in cols:
+            df = rank_within(df, [session], c, f"rank_{session}_{c}", ascending=True, nulls="keep", plain=plain)
+    for c in high:
+        if c in cols:
+            df = rank_within(df, [session], c, f"rank_{session}_{c}", ascending=False, nulls="keep", plain=plain)
+    return df

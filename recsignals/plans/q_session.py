@@ -211,3 +211,73 @@ def q_importance_cut(spark, sf_dir):
 
     model = train_session_ranker(_ranker_data(spark), _RANK_FEATS, "target")
     return importance_cut(spark, model, _RANK_FEATS, 0.99)
+
+
+_SITE = ["total_click", "total_cart", "total_order", "total_fav"]
+_SEARCH = ["total_search_impression", "total_search_click"]
+_SR_OUT = ["avg_content_search_and_sitewide_rank", "median_content_search_and_sitewide_rank",
+           "total_content_search_and_sitewide_weighted_score", "rank_session_id_content_sitewide_weighted_score",
+           "rank_session_id_content_search_weighted_score"]
+
+
+def _session_ranks_sql():
+    from recsignals.plans.q_history import _hist_sql
+
+    site = _hist_sql("o_item_log", ["item_id"], "date", _SITE, P.SITE_RATIO_GROUPS, "content_sitewide",
+                     P.SITE_WEIGHTS, name="hs")
+    srch = _hist_sql("o_item_log", ["item_id"], "date", _SEARCH, P.SEARCH_RATIO_GROUPS, "content_search",
+                     P.SEARCH_WEIGHTS, name="hq")
+    groups = {"content_sitewide": [f"content_sitewide_{a}_to_{b}_avg_ratio" for a, b in P.SITE_RATIO_GROUPS],
+              "content_search": [f"content_search_{a}_to_{b}_avg_ratio" for a, b in P.SEARCH_RATIO_GROUPS]}
+    existing = []
+    for t, tc in (("content_sitewide", _SITE), ("content_search", _SEARCH)):
+        for c1 in tc:
+            for c2 in tc:
+                if c1 != c2:
+                    for name in (f"{t}_{c1}_to_{c2}_avg_ratio", f"{t}_{c1}", f"{t}_{c2}"):
+                        if name in groups[t] or name in (f"{t}_{c1}", f"{t}_{c2}"):
+                            existing.append(name)
+    # float64 weights, as in the original (a DECIMAL literal would make DuckDB tie scores that
+    # are equal only in exact arithmetic)
+    ws = {"content_sitewide": " + ".join(f"CAST(COALESCE(content_sitewide_{c}, 0) AS DOUBLE) * CAST({P.SESSION_COL_WEIGHTS[c]} AS DOUBLE)" for c in _SITE),
+          "content_search": " + ".join(f"CAST(COALESCE(content_search_{c}, 0) AS DOUBLE) * CAST({P.SESSION_COL_WEIGHTS[c]} AS DOUBLE)" for c in _SEARCH)}
+
+    def rk(c):
+        return f"CASE WHEN {c} IS NULL THEN NULL ELSE RANK() OVER (PARTITION BY session_id ORDER BY {c} DESC NULLS LAST) END"
+
+    ranks = [rk("content_sitewide_ws"), rk("content_search_ws")] + [rk(c) for c in existing]
+    fill_s = ", ".join(f"COALESCE(s.{c}, 0) AS {c}" for c in [f"content_sitewide_{c}" for c in _SITE] + groups["content_sitewide"])
+    fill_q = ", ".join(f"COALESCE(q.{c}, 0) AS {c}" for c in [f"content_search_{c}" for c in _SEARCH] + groups["content_search"])
+    return site + srch + f"""
+, j AS (SELECT b.row_id, b.session_id, {fill_s}, {fill_q}
+        FROM o_base b ASOF LEFT JOIN hs s ON b.item_id = s.item_id AND b.ts > s.date
+                      ASOF LEFT JOIN hq q ON b.item_id = q.item_id AND b.ts > q.date)
+, w AS (SELECT *, {ws['content_sitewide']} AS content_sitewide_ws, {ws['content_search']} AS content_search_ws FROM j)
+, r AS (SELECT row_id, content_sitewide_ws, content_search_ws, [{', '.join(ranks)}] AS rl,
+        {rk('content_sitewide_ws')} AS rank_session_id_content_sitewide_weighted_score,
+        {rk('content_search_ws')} AS rank_session_id_content_search_weighted_score FROM w)
+SELECT row_id, ROUND(list_avg(rl), 6) AS avg_content_search_and_sitewide_rank,
+  ROUND(CAST(list_median(rl) AS DOUBLE), 6) AS median_content_search_and_sitewide_rank,
+  ROUND(content_sitewide_ws * {P.SESSION_TABLE_WEIGHTS['content_sitewide']} + content_search_ws * {P.SESSION_TABLE_WEIGHTS['content_search']}, 6) AS total_content_search_and_sitewide_weighted_score,
+  CAST(rank_session_id_content_sitewide_weighted_score AS DOUBLE) AS rank_session_id_content_sitewide_weighted_score,
+  CAST(rank_session_id_content_search_weighted_score AS DOUBLE) AS rank_session_id_content_search_weighted_score
+FROM r"""
+
+
+@query("q_session_ranks", fixtures=("o_base", "o_item_log"), oracle=_session_ranks_sql())
+def q_session_ranks(spark, sf_dir):
+    """In-session ranks of item site-wide and search histories, with mean /
+    median rank (multiplicity kept) and table-weighted score (C10)."""
+    from recsignals.operators.history import cumulative_history
+
+    base = spark.table("o_base").select("row_id", "session_id", "item_id", F.col("ts").alias("date"))
+    log = spark.table("o_item_log")
+    d = cumulative_history(base, log, ["item_id"], "date", _SITE, P.SITE_RATIO_GROUPS, "content_sitewide",
+                           P.SITE_WEIGHTS)
+    d = cumulative_history(d, log, ["item_id"], "date", _SEARCH, P.SEARCH_RATIO_GROUPS, "content_search",
+                           P.SEARCH_WEIGHTS, probes_from=base)
+    from recsignals.session import stage
+    d = stage(d, "session-ranks-in")
+    out = S.session_ranks(d, "session_id", ["content_sitewide", "content_search"], "content_sitewide", _SEARCH,
+                          _SITE, P.SESSION_COL_WEIGHTS, P.SESSION_TABLE_WEIGHTS, [])
+    return out.select("row_id", *[F.col(c).cast("double").alias(c) for c in _SR_OUT])
