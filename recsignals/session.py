@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,16 +47,45 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
-    Set only when unset (tests / local runs)."""
+    Only a ``local`` master may leave it unset (tests); it then gets a new
+    temporary folder.  Elsewhere an unset folder is an error, since executors
+    would not share a machine-local one."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = os.environ.get("RECSIGNALS_LOCAL_CHECKPOINT", "/tmp/recsignals-checkpoints")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="recsignals-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+_RUN = f"run-{uuid.uuid4().hex}"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This driver's own folder below the shared one; removed when the driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{_RUN}"
+    if path not in _OWNED:
+        _OWNED.add(path)
+        atexit.register(drop_path, spark, path)
+    return path
+
+
+_OWNED: set[str] = set()
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged table through Spark's own file system layer."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stage(df: DataFrame, name: str | None = None) -> DataFrame:
     """Alias of :func:`materialize` used inside plans before a fan-out."""
     return materialize(df, name)
@@ -63,8 +93,7 @@ def stage(df: DataFrame, name: str | None = None) -> DataFrame:
 
 def write_stage(df: DataFrame, name: str | None = None) -> str:
     """Write ``df`` as parquet under the shared checkpoint folder; return the path."""
-    base = checkpoint_dir(df.sparkSession)
-    path = f"{base.rstrip('/')}/tables/{name or 'stage'}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{name or 'stage'}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return path
 
