@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recsignals.llm import op01_packing, op10_repair
+from recsignals.llm import op01_packing, op02_url_filter, op05_decontaminate, op07_quality, op08_licences, op10_repair
 from recsignals.llm.common import table
 from recsignals.llm.tokens import default_vocabulary
 
@@ -29,3 +30,33 @@ def op1_best_fit_packing(spark, sf_dir):
 def op10_token_store(spark, sf_dir):
     """Every document's ids, written as grammar shards and read back."""
     return op10_repair.store(table(spark, sf_dir, "documents"), default_vocabulary(), end_id=2)
+
+
+# Host, path and verdict of the rules.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query
+def op2_url_filter(spark, sf_dir):
+    """The verdict on every page's url."""
+    return op02_url_filter.apply_rules(table(spark, sf_dir, "pages"), URL_RULES, default="allow")
+
+
+@query
+def op5_decontaminate(spark, sf_dir):
+    """Benchmark windows of ten words found in every document."""
+    return op05_decontaminate.summary(op05_decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query
+def op7_quality_rules(spark, sf_dir):
+    """Base counts and the divergence verdict of every document."""
+    judged = op07_quality.judge(op07_quality.measures(table(spark, sf_dir, "documents")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op8_licence_scan(spark, sf_dir):
+    """Whole-text digest, licence and licence notices of every document; notices comma-joined."""
+    found = op08_licences.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "digest", "licence", F.array_join("notices", ",").alias("notices"))
