@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsignals.llm import op01_packing, op02_url_filter, op05_decontaminate, op07_quality, op08_licences, op10_repair
+from recsignals.llm import op01_packing, op02_url_filter, op05_decontaminate, op07_quality, op08_licences, op09_jaccard_join, op10_repair
 from recsignals.llm.common import table
 from recsignals.llm.tokens import default_vocabulary
 
@@ -60,3 +60,10 @@ def op8_licence_scan(spark, sf_dir):
     """Whole-text digest, licence and licence notices of every document; notices comma-joined."""
     found = op08_licences.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "digest", "licence", F.array_join("notices", ",").alias("notices"))
+
+
+@query
+def op9_jaccard_join(spark, sf_dir):
+    """The component of every document among texts with a shingle similarity of 0.75 or more."""
+    members, _ = op09_jaccard_join.join(table(spark, sf_dir, "documents"))
+    return op09_jaccard_join.summary(members)
