@@ -4,8 +4,8 @@ The sample takes the positions whose residue modulo the period lies in a
 difference cover; its suffixes are ranked first (to a bounded depth) by doubling.
 Suffixes to be sorted come in buckets of one residue, so in a bucket the next
 sampled position is the same distance ahead for all. They are compared by the
-bytes up to there only; longer ties fall to the sample's ranks. Memory is the
-text, the sample's ranks and one bucket's keys.
+bytes up to there; longer ties fall to the sample's ranks. Memory is the text,
+the sample's ranks and one bucket's keys.
 """
 
 from __future__ import annotations
@@ -43,38 +43,37 @@ def _ranks(columns: list[np.ndarray]) -> np.ndarray:
 
 
 class CoverSample:
-    """Ranks of the sampled suffixes, equal where they agree in the first ``depth`` bytes or more.
+    """Ranks of the sampled suffixes by their first PERIOD, 2 PERIOD, ... bytes, up to half of ``depth`` at least.
 
-    text needs ``PERIOD + depth * 2`` bytes of padding at its end.
+    ``text`` holds ``size`` bytes and ``2 * depth`` bytes of padding.
     """
 
     def __init__(self, text: np.ndarray, size: int, depth: int):
-        self.text = text
+        self.text, self.depth = text, depth
         residue = np.zeros(PERIOD, bool)
         residue[list(COVER)] = True
-        self.place = np.flatnonzero(residue[np.arange(size) % PERIOD])
-        self.number = np.full(size + 1, -1, np.int64)
-        self.number[self.place] = np.arange(len(self.place))
-        rank, have = _ranks(_words(text, self.place, PERIOD)), PERIOD
-        while have < depth:  # the position a multiple of the period ahead is in the sample too
-            ahead = np.minimum(self.place + have, size)
-            number = self.number[ahead]
-            rank = _ranks([rank, np.where(number >= 0, rank[number], -1)])
-            have *= 2
-        self.rank, self.have = rank, have
+        place = np.flatnonzero(residue[np.arange(size) % PERIOD])
+        self.number = np.full(size + 2 * depth, -1, np.int64)
+        self.number[place] = np.arange(len(place))
+        self.ranks = [(PERIOD, _ranks(_words(text, place, PERIOD)))]
+        while 2 * self.ranks[-1][0] <= depth:
+            have, rank = self.ranks[-1]
+            ahead = self.number[place + have]  # a multiple of the period ahead, so sampled too
+            self.ranks.append((2 * have, _ranks([rank, np.where(ahead >= 0, rank[ahead], -1)])))
         self.gap = [next(d for d in range(PERIOD) if residue[(r + d) % PERIOD]) for r in range(PERIOD)]
 
     def equal_runs(self, at: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Sort the suffixes ``at`` per bucket and residue; yields (order, flag: equal to the one before).
-
-        Flags compare the bytes up to the next sampled position and its rank, so
-        equal suffixes agree in ``have`` bytes beyond that position at least.
-        """
+        """Sort the suffixes ``at``, cut to ``depth`` bytes, bucket by bucket; yields (order, flag: equal to the one before)."""
         residue = at % PERIOD
         for r in np.unique(residue):
             own = np.flatnonzero(residue == r)
-            pos, gap = at[own], self.gap[r]
-            keys = [bucket[own], *_words(self.text, pos, gap), self.rank[self.number[pos + gap]]]
+            pos, done = at[own], self.gap[r]
+            keys = [bucket[own], *_words(self.text, pos, done)]
+            for have, rank in reversed(self.ranks):  # the rest in ranked pieces, then the bytes that are left
+                while self.depth - done >= have:
+                    keys.append(rank[self.number[pos + done]])
+                    done += have
+            keys += _words(self.text, pos + done, self.depth - done)
             order = np.lexsort(keys[::-1])
             same = np.zeros(len(order), bool)
             same[1:] = True

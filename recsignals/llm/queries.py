@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsignals.llm import op01_packing, op02_url_filter, op05_decontaminate, op07_quality, op08_licences, op09_jaccard_join, op10_repair
+from recsignals.llm import op01_packing, op02_url_filter, op04_suffix_dedup, op05_decontaminate, op07_quality, op08_licences, op09_jaccard_join, op10_repair
 from recsignals.llm.common import table
 from recsignals.llm.tokens import default_vocabulary
 
@@ -67,3 +67,9 @@ def op9_jaccard_join(spark, sf_dir):
     """The component of every document among texts with a shingle similarity of 0.75 or more."""
     members, _ = op09_jaccard_join.join(table(spark, sf_dir, "documents"))
     return op09_jaccard_join.summary(members)
+
+
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    """Bytes that repeated strings of 200 bytes cover, removed from every document."""
+    return op04_suffix_dedup.summary(op04_suffix_dedup.dedup(table(spark, sf_dir, "documents")))

@@ -76,3 +76,39 @@ def test_components(corpus, monkeypatch, tile_rows):
 def test_empty_join(corpus):
     members, links = op09_jaccard_join.join(corpus.limit(0))
     assert op09_jaccard_join.summary(members).count() == 0 and links.count() == 0
+
+
+def brute_repeats(rows, span):
+    where = defaultdict(int)
+    raw = [(t or "").encode() for _, t in rows]
+    for b in raw:
+        for i in range(len(b) - span + 1):
+            where[b[i : i + span]] += 1
+    out = []
+    for (d, _), b in zip(rows, raw):
+        gone = bytearray(len(b))
+        for i in range(len(b) - span + 1):
+            if where[b[i : i + span]] > 1:
+                gone[i : i + span] = b"\1" * span
+        runs = [[m.start(), m.end()] for m in re.finditer(b"\1+", bytes(gone))]
+        out.append((d, bytes(x for x, g in zip(b, gone) if not g), len(b), runs))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_repeats(spark, monkeypatch, small):
+    from recsignals.llm import op04_suffix_dedup as op
+
+    if small:  # every path: hot buckets, many blocks, joins by shuffle
+        for name, value in (("HOT_CONTEXTS", 3), ("BLOCK_TEXT", 4000), ("BUCKET_ANCHORS", 500), ("BUCKET_CONTEXTS", 10_000), ("BROADCAST_BYTES", 0)):
+            monkeypatch.setattr(op, name, value)
+    rng = random.Random(3)
+    junk = lambda n: "".join(rng.choice("abcdé \n") for _ in range(n))
+    common, other = junk(330), junk(230)
+    rows = [(i, junk(rng.randrange(400)) + common[rng.randrange(60) : 330 - rng.randrange(60)] + junk(rng.randrange(300)) + (other if i % 3 else other[:185])) for i in range(60)]
+    rows += [(100, "ab" * 700), (101, "x" * 900), (102, "x" * 199), (103, None), (104, ""), (None, common), (105, common + common), (106, rows[5][1]), (106, rows[5][1]), (107, junk(60_000)), (108, other[:199])]
+    rows += [(200 + r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, runs string, start int").repartition(5)
+    got = sorted(((r.doc_id, bytes(r.kept), r.n_bytes, [list(x) for x in r.runs]) for r in op.dedup(docs).collect()), key=repr)
+    assert got == brute_repeats(rows, 200)
+    assert op.dedup(docs.limit(0)).count() == 0
