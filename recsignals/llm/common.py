@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import os
+import shutil
+import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +19,25 @@ NULL_ID = -(2**63)
 BROADCAST_BYTES = 64 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application, as ``--py-files`` would."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    folder = tempfile.mkdtemp(prefix="recsignals-")  # the driver serves the archive from here until it ends
+    atexit.register(shutil.rmtree, folder, True)
+    copy = os.path.join(folder, "package")
+    shutil.copytree(os.path.join(root, "recsignals"), os.path.join(copy, "recsignals"), ignore=shutil.ignore_patterns("__pycache__"))
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "recsignals"), "zip", copy))
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: computed once, lost executors cost no recomputation upstream."""
+    ship_package(df.sparkSession)
     return materialize(df, name)
 
 
@@ -29,6 +50,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, extra: tuple[str, ...] =
 
     ``(kid, th)`` names a text of a row: rows that repeat both are interchangeable.
     """
+    ship_package(docs.sparkSession)
     t = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     return docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("kid"), F.xxhash64(t).alias("th"), t.alias("text"), *[docs[c] for c in extra])
 
@@ -50,3 +72,11 @@ def buckets(units: float, per_bucket: float, least: int = 12) -> int:
 def text_volume(docs: DataFrame, text_col: str) -> int:
     """Bytes of text, from one pass over that column."""
     return docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
+
+
+def without(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs less the rows named by (id, ``th``) in ``rejected``; all columns stay."""
+    gone = stage(rejected.select(F.col(id_col).cast("long").alias("__id"), F.col("th").alias("__th")).distinct(), "rejected")
+    gone = small_side(gone, 32)
+    same = docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == F.col("__th"))
+    return docs.join(gone, same, "left_anti")

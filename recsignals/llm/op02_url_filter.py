@@ -31,7 +31,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recsignals.llm.common import buckets
+from recsignals.llm.common import buckets, ship_package
 
 #: Rule bytes in one array file.
 BLOCK_BYTES = 64 << 20
@@ -122,6 +122,7 @@ def _mapped(name: str) -> Digests:
 def apply_rules(urls: DataFrame, rules, id_col="page_id", url_col="url", default="allow", block_bytes=BLOCK_BYTES) -> DataFrame:
     """rules: tuples (host, path, verdict), or a DataFrame with these columns. Returns id, host, path, rule, verdict."""
     spark = urls.sparkSession
+    ship_package(spark)
     if isinstance(rules, DataFrame):
         r = rules.select("host", "path", "verdict").na.drop()
         n = buckets(r.agg(F.sum(F.length("host") + F.length("path") + 32)).first()[0] or 0, block_bytes, 1)

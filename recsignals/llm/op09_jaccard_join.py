@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsignals.llm.common import NULL_ID, buckets, id_back, keyed, small_side, stage
+from recsignals.llm.common import NULL_ID, buckets, id_back, keyed, small_side, stage, without
 from recsignals.llm.graph import components
 from recsignals.llm.textbuf import U64, PrefixHash, ascii_lower, blocks, gram_hashes, mix, word_spans, word_table
 
@@ -363,3 +363,19 @@ def summary(members: DataFrame, id_col="doc_id") -> DataFrame:
     least = members.filter("component is not null").groupBy("component").agg(F.min(own).alias("component_id"))
     # A component of one text needs no look-up.
     return members.join(small_side(stage(least, "op9-least"), 16), "component", "left").select(id_back().alias(id_col), F.col("n").alias("n_shingles"), F.coalesce(F.col("component_id"), own).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, members: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+    """docs with one row of every component: its smallest id (null last, then text hash). Rows with empty sets all stay."""
+    order = F.struct((F.col("kid") == NULL_ID).alias("none"), "kid", "th")
+    linked = stage(members.filter("component is not null").select("kid", "th", "component"), "op9-members")
+    keepers = linked.groupBy("component").agg(F.min(order).alias("k")).select("k.kid", "k.th")
+    rejected = linked.select("kid", "th").distinct().join(keepers, ["kid", "th"], "left_anti")
+    kept = without(docs, rejected.select(id_back().alias(id_col), "th"), id_col, text_col)
+    # Rows that repeat a keeper's id and text: one of them stays. Only such rows are shuffled.
+    again = stage(linked.groupBy("kid", "th").agg(F.count("*").alias("n")).filter("n > 1").select(id_back().alias(id_col), "th"), "op9-again")
+    if again.isEmpty():
+        return kept
+    names = stage(again.select(F.col(id_col).alias("__id"), F.col("th").alias("__th")), "op9-again")
+    same = kept[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(kept[text_col].cast("string"), F.lit(""))) == F.col("__th"))
+    return without(kept, again, id_col, text_col).unionByName(kept.join(small_side(names, 32), same, "left_semi").dropDuplicates([id_col, text_col]))

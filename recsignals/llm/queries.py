@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsignals.llm import op01_packing, op02_url_filter, op04_suffix_dedup, op05_decontaminate, op07_quality, op08_licences, op09_jaccard_join, op10_repair
+from recsignals.llm import op01_packing, op02_url_filter, op03_html, op04_suffix_dedup, op05_decontaminate, op06_toxicity, op07_quality, op08_licences, op09_jaccard_join, op10_repair
 from recsignals.llm.common import table
 from recsignals.llm.tokens import default_vocabulary
 
@@ -73,3 +73,18 @@ def op9_jaccard_join(spark, sf_dir):
 def op4_suffix_dedup(spark, sf_dir):
     """Bytes that repeated strings of 200 bytes cover, removed from every document."""
     return op04_suffix_dedup.summary(op04_suffix_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    """A toxicity score for every document, learnt from the labelled rows that aren't held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = op06_toxicity.fit(docs, labels.filter(~op06_toxicity.held_out()))
+    scored = op06_toxicity.score(docs, model)
+    return scored.select("doc_id", op06_toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op3_html_extraction(spark, sf_dir):
+    """The main text of every page."""
+    return op03_html.extract(table(spark, sf_dir, "pages"))
