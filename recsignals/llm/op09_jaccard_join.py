@@ -4,10 +4,11 @@ Method. Texts become sets of hashed shingles; equal sets are one node. A node's
 prefix is the smallest part of its set that any partner must share a shingle
 with (|x| - ceil(t|x|) + 1 of them, in one global order). Nodes that share a
 prefix shingle meet in a tile; sorted by set size, only bands within the
-threshold's ratio are compared. Each node has a bitmap with about one bit per
+threshold's ratio are compared. Each node has a bitmap of two to four bits per
 shingle, toggled by each; unequal bits are at most unequal shingles, so a bit
-count bounds the overlap from above. Pairs that pass are decided exactly by
-intersecting the sorted arrays of both whole texts.
+count bounds the overlap from above. So does the place of the first shared
+shingle: what is shared stands behind it in both. Pairs that pass are decided
+exactly by intersecting the sorted arrays of both whole texts.
 
 Order. Frequent shingles come last, told by a table of hashed counters of fixed
 size over all texts. So a passage that a third of the corpus shares is in no
@@ -15,11 +16,12 @@ prefix, unless a text is little else. The order changes cost, not results.
 
 No pair is lost and no group is expanded: first, per tile and band, each node
 is tried against one pivot (its most frequent). Then rounds take the pairs that
-still join different components: per two components the ``k`` closest pairs, k
-growing eightfold, until a round holds nothing back. Pairs inside a component
-need no test, as they change nothing. Tiles of frequent shingles are spread
-over salted tasks; texts that a decision needs are fetched by id, by broadcast
-of the ids only if these are few.
+still join different components: the ``k`` closest of every component. What a
+round holds back is looked at again with k grown eightfold, among the components
+concerned only, until nothing is held back. Pairs inside a component need no
+test, as they change nothing. Tiles of frequent shingles are spread over salted
+tasks; texts that a decision needs are fetched by id, by broadcast of the ids
+only if these are few.
 
 Null text, or text without words, has an empty set and is linked with nothing; a
 shorter text than a shingle is one shingle; null ids take part but are never a
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from recsignals.llm.common import NULL_ID, buckets, id_back, keyed, small_side, stage, without
 from recsignals.llm.graph import components
-from recsignals.llm.textbuf import U64, PrefixHash, ascii_lower, blocks, gram_hashes, mix, word_spans, word_table
+from recsignals.llm.textbuf import U64, PrefixHash, ascii_lower, blocks, gram_hashes, mix, segments, word_spans, word_table
 
 WORD_BYTES = ~word_table((0x20, 0x20), (0x09, 0x0D))
 #: Counters for frequent shingles (fixed), as 2**bits in slices.
@@ -68,8 +70,8 @@ def node_of(x: np.ndarray) -> int:
 
 
 def bitmap(x: np.ndarray) -> bytes:
-    """One bit toggled per shingle; about as many bits as shingles, a power of two, 64 at least."""
-    width = max(64, 1 << (len(x) - 1).bit_length())
+    """One bit toggled per shingle; two to four times as many bits as shingles, a power of two, 64 at least."""
+    width = max(64, 2 << (len(x) - 1).bit_length())
     odd = np.bincount((x >> U64(20)).astype(np.int64) & (width - 1), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -131,7 +133,7 @@ def frequent_table(signed: DataFrame) -> np.ndarray:
 
 
 def prefix_rows(rows: DataFrame, frequent, words: int, percent: int, parts: int, salts: int) -> DataFrame:
-    """(bucket, keys, nodes, sizes): packed prefix entries of all nodes, each node once per task."""
+    """(bucket, keys, nodes, sizes, places): packed prefix entries of all nodes, each node once per task."""
 
     def run(batches):
         hot, seen = frequent.value, set()
@@ -141,14 +143,15 @@ def prefix_rows(rows: DataFrame, frequent, words: int, percent: int, parts: int,
             k = np.concatenate(keys)
             lens = np.array([len(x) for x in keys])
             node, size = np.repeat(np.array(nodes, np.int64), lens), np.repeat(np.array(sizes, np.int32), lens)
+            place = segments(np.zeros(len(lens), np.int64), lens).astype(np.int32)
             salt = np.where(hot[k >> U64(64 - COUNTER_BITS)], node.view(U64) % U64(salts), U64(0))
             bucket = (mix(k + salt * U64(0x9E3779B97F4A7C15)) % U64(parts)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             edge = np.searchsorted(bucket[order], np.arange(parts + 1))
-            k, node, size = k[order], node[order], size[order]
+            k, node, size, place = k[order], node[order], size[order], place[order]
             full = [b for b in range(parts) if edge[b + 1] > edge[b]]
-            cols = [[a[edge[b] : edge[b + 1]].tobytes() for b in full] for a in (k, node, size)]
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *[pa.array(c, pa.binary()) for c in cols]], names=["bucket", "keys", "nodes", "sizes"])
+            cols = [[a[edge[b] : edge[b + 1]].tobytes() for b in full] for a in (k, node, size, place)]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *[pa.array(c, pa.binary()) for c in cols]], names=["bucket", "keys", "nodes", "sizes", "places"])
 
         for _, buf, off in blocks(batches, "text"):
             for x in shingle_sets(buf, off, words):
@@ -164,87 +167,119 @@ def prefix_rows(rows: DataFrame, frequent, words: int, percent: int, parts: int,
         if keys:
             yield flush()
 
-    return rows.select("text").mapInArrow(run, "bucket int, keys binary, nodes binary, sizes binary")
+    return rows.select("text").mapInArrow(run, "bucket int, keys binary, nodes binary, sizes binary, places binary")
 
 
 def tiles(packed: DataFrame, percent: int, keep_all: bool) -> DataFrame:
-    """Entries of shared prefix shingles (key, node, size), and star pairs (pivot, node) per size band."""
+    """Entries of shared prefix shingles (key, node, size, place), and star pairs (pivot, node, shared) per size band."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, node, size = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("keys", np.int64), ("nodes", np.int64), ("sizes", np.int32)))
+    def run(table: pa.Table) -> pa.Table:
+        key, node, size, place = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("keys", np.int64), ("nodes", np.int64), ("sizes", np.int32), ("places", np.int32)))
         order = np.lexsort((node, size, key))
-        key, node, size = key[order], node[order], size[order]
+        key, node, size, place = key[order], node[order], size[order].astype(np.int64), place[order].astype(np.int64)
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node, size = key[new], node[new], size[new].astype(np.int64)
-        near = (key[1:] == key[:-1]) & (100 * size[:-1] >= percent * size[1:])  # the next larger is within the ratio
-        kept = np.zeros(len(key), bool)
-        kept[1:] |= near
-        kept[:-1] |= near
-        if keep_all:  # salted tiles: the rest of a tile may be elsewhere
-            kept[:] = True
-        key, node, size = key[kept], node[kept], size[kept]
+        key, node, size, place = key[new], node[new], size[new], place[new]
+        if not keep_all:  # salted tiles: the rest of a tile may be elsewhere
+            # Partners have at least the ratio's share of the size; at most as many as the shingles from here on can outweigh.
+            number = np.cumsum(np.concatenate(([0], key[1:] != key[:-1]))) << 32
+            least, most = -(-percent * size // 100), (100 + percent) * (size - place) // percent - size
+            found = np.searchsorted(number + size, number + np.maximum(most, 0), side="right") - np.searchsorted(number + size, number + least)
+            kept = found > (most >= size)
+            key, node, size, place = key[kept], node[kept], size[kept], place[kept]
         # Bands: within a tile, from one size up to the largest within the ratio.
-        pivot = node.copy()
-        i = 0
-        edge = np.append(np.flatnonzero(np.diff(key, prepend=key[:1] - 1 if len(key) else 0)), len(key))
-        end_of = np.repeat(edge[1:], np.diff(edge)) if len(key) else edge
+        pivot, i = node.copy(), 0
+        edge = np.append(np.flatnonzero(np.diff(key, prepend=key[:1] ^ 1)), len(key))
+        end_of = np.repeat(edge[1:], np.diff(edge))
         while i < len(key):
             z = i + int(np.searchsorted(size[i : end_of[i]], 100 * size[i] // percent, side="right"))
             pivot[i:z] = node[i:z].min()
             i = z
         star = pivot != node
-        pairs = pd.DataFrame({"a": pivot[star], "b": node[star]}).value_counts().rename("n").reset_index()
-        return pd.concat(
-            [pd.DataFrame({"key": key, "node": node, "size": size}), pairs.rename(columns={"a": "pivot", "b": "node"})], ignore_index=True
-        ).astype({"key": "Int64", "size": "Int64", "pivot": "Int64", "n": "Int64"})
-
-    return packed.groupBy("bucket").applyInPandas(run, "key long, node long, size long, pivot long, n long")
-
-
-def _unequal_bits(left: list[bytes], right: list[bytes]) -> np.ndarray:
-    """Lower bound of the unequal shingles of each pair of bitmaps."""
-    out = np.zeros(len(left), np.int64)
-    size = np.array([(len(a), len(b)) for a, b in zip(left, right)]).reshape(-1, 2)
-    for a, b in np.unique(size, axis=0):
-        at = np.flatnonzero((size[:, 0] == a) & (size[:, 1] == b))
-        x, y = (np.frombuffer(b"".join(s[i] for i in at), np.uint8).reshape(len(at), -1) for s in (left, right))
-        while x.shape[1] > y.shape[1]:
-            x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
-        while y.shape[1] > x.shape[1]:
-            y = y[:, : y.shape[1] // 2] ^ y[:, y.shape[1] // 2 :]
-        out[at] = np.bitwise_count((x ^ y).view(U64)).sum(axis=1)
-    return out
-
-
-def _may_link(n: np.ndarray, m: np.ndarray, unequal: np.ndarray, percent: int) -> np.ndarray:
-    """The bit counts' upper bound of the overlap allows a link."""
-    inter = (n + m - unequal) // 2
+        pairs, shared = np.unique(np.stack([pivot[star], node[star]], 1), axis=0, return_counts=True)
+        names = ["key", "node", "size", "place", "pivot", "shared"]
+        entries = pa.table([pa.array(x) for x in (key, node, size, place)] + [pa.nulls(len(key), pa.int64())] * 2, names=names)
+        none = pa.nulls(len(pairs), pa.int64())
+        stars = pa.table([none, pa.array(pairs[:, 1]), none, none, pa.array(pairs[:, 0]), pa.array(shared, pa.int64())], names=names)
+        return pa.concat_tables([entries, stars])
+
+    return packed.groupBy("bucket").applyInArrow(run, "key long, node long, size long, place long, pivot long, shared long")
+
+
+class Bitmaps:
+    """Bitmaps of many nodes by width, for bit counts over pairs of row numbers."""
+
+    def __init__(self, bits: list[bytes]):
+        width = np.array([len(b) for b in bits], np.int64)
+        self.width, self.at, self.rows = width, np.zeros(len(bits), np.int64), {}
+        for w in np.unique(width).tolist():
+            own = np.flatnonzero(width == w)
+            self.at[own] = np.arange(len(own))
+            self.rows[w] = np.frombuffer(b"".join([bits[x] for x in own]), np.uint8).reshape(len(own), w).view(U64)
+
+    def unequal(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Lower bound of the unequal shingles of each pair."""
+        out = np.zeros(len(i), np.int64)
+        code = self.width[i] << 32 | self.width[j]
+        for c in np.unique(code).tolist():
+            own = np.flatnonzero(code == c)
+            x, y = self.rows[c >> 32][self.at[i[own]]], self.rows[c & 0xFFFFFFFF][self.at[j[own]]]
+            x, y = (x, y) if x.shape[1] >= y.shape[1] else (y, x)
+            while x.shape[1] > y.shape[1]:  # a wide bitmap folds to a narrow one
+                x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+            out[own] = np.bitwise_count(x ^ y).sum(axis=1)
+        return out
+
+
+def _may_link(n: np.ndarray, m: np.ndarray, inter: np.ndarray, percent: int) -> np.ndarray:
+    """An upper bound of the overlap allows a link."""
     return 100 * inter >= percent * (n + m - inter)
 
 
 def cross_pairs(entries: DataFrame, percent: int, k: int) -> DataFrame:
-    """entries (part, key, chunk, minor, node, size, comp, bits) -> (a, b, held): per two components the k closest pairs that may link.
+    """entries (part, key, chunk, minor, node, size, place, comp, bits) -> (a, b, held_a, held_b): the k closest pairs of each component that may link.
 
-    held is 1 if the task kept back further ones.
+    Where a task kept back further pairs of a component, held names it.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["key", "chunk", "node"]).sort_values(["key", "chunk", "size", "node"], kind="stable")
-        tile = pd.factorize(pd.MultiIndex.from_frame(pdf[["key", "chunk"]]))[0]
-        node, size, comp, minor, chunk = (pdf[c].to_numpy() for c in ("node", "size", "comp", "minor", "chunk"))
-        bits = pdf["bits"].tolist()
-        found: dict[tuple[int, int], tuple[int, int]] = {}
+    def run(table: pa.Table) -> pa.Table:
+        key, chunk, size, node, place, comp, minor = (table.column(c).to_numpy() for c in ("key", "chunk", "size", "node", "place", "comp", "minor"))
+        order = np.lexsort((node, size, chunk, key))
+        maps = Bitmaps(table.column("bits").take(pa.array(order)).to_pylist())
+        key, chunk, size, node, place, comp, minor = (x[order] for x in (key, chunk, size, node, place, comp, minor))
+        tile = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1]))))
+        found = np.zeros((0, 3), np.int64)
+        held: list[np.ndarray] = []
+
+        def best(found: np.ndarray) -> np.ndarray:
+            """The distinct pairs among the k closest of one of their components."""
+            a, b = node[found[:, 0]], node[found[:, 1]]
+            swap = a > b
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            by = np.lexsort((b, a))
+            new = np.ones(len(by), bool)
+            new[1:] = (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])
+            found = found[by[new]]
+            of = np.concatenate([comp[found[:, 0]], comp[found[:, 1]]])
+            by = np.lexsort((np.tile(np.arange(len(found)), 2), np.tile(found[:, 2], 2), of))
+            rank = np.arange(len(by)) - np.searchsorted(of[by], of[by])
+            keep = np.zeros(len(found), bool)
+            keep[by[rank < k] % max(1, len(found))] = True
+            held.append(np.unique(comp[found[~keep][:, :2]]))
+            return found[keep]
 
         def judge(i: np.ndarray, j: np.ndarray) -> None:
-            d = _unequal_bits([bits[x] for x in i], [bits[x] for x in j])
-            ok = _may_link(size[i], size[j], d, percent)
-            for x, y, e in zip(i[ok].tolist(), j[ok].tolist(), d[ok].tolist()):
-                a, b = (x, y) if node[x] < node[y] else (y, x)
-                found[(int(node[a]), int(node[b]))] = (e, (min(comp[a], comp[b]), max(comp[a], comp[b])))
-
-        todo, held, step = [], 0, 1
-        live = np.arange(len(node))
+            nonlocal found
+            inter = np.minimum(size[i] - place[i], size[j] - place[j])
+            ok = _may_link(size[i], size[j], inter, percent)
+            i, j = i[ok], j[ok]
+            e = maps.unequal(i, j)
+            ok = _may_link(size[i], size[j], (size[i] + size[j] - e) // 2, percent)
+            found = np.concatenate([found, np.stack([i[ok], j[ok], e[ok]], 1)])
+            if len(found) > 500_000:
+                found = best(found)
+
+        todo, waiting, step, live = [], 0, 1, np.arange(len(node))
         while len(live):
             live = live[live + step < len(node)]
             live = live[(tile[live] == tile[live + step]) & (100 * size[live] >= percent * size[live + step])]
@@ -252,21 +287,20 @@ def cross_pairs(entries: DataFrame, percent: int, k: int) -> DataFrame:
             take = (comp[live] != comp[other]) & ~(minor[live] & minor[other] & (chunk[live] > 0))
             if take.any():
                 todo.append((live[take], other[take]))
-                held += int(take.sum())
-                if held > 200_000:
-                    judge(np.concatenate([t[0] for t in todo]), np.concatenate([t[1] for t in todo]))
-                    todo, held = [], 0
+                waiting += int(take.sum())
+                if waiting > 200_000:
+                    judge(*(np.concatenate(x) for x in zip(*todo)))
+                    todo, waiting = [], 0
             step += 1
         if todo:
-            judge(np.concatenate([t[0] for t in todo]), np.concatenate([t[1] for t in todo]))
-        if not found:
-            return pd.DataFrame({"a": [], "b": [], "held": []}).astype("int64")
-        out = pd.DataFrame([(a, b, e, *c) for (a, b), (e, c) in found.items()], columns=["a", "b", "e", "c", "d"]).sort_values(["c", "d", "e", "a", "b"])
-        rank = out.groupby(["c", "d"]).cumcount()
-        out["held"] = int((rank >= k).any())
-        return out.loc[rank < k, ["a", "b", "held"]]
+            judge(*(np.concatenate(x) for x in zip(*todo)))
+        found = best(found)
+        back = np.unique(np.concatenate(held))
+        c, d = comp[found[:, 0]], comp[found[:, 1]]
+        cols = [pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]]), pa.array(c, mask=~np.isin(c, back)), pa.array(d, mask=~np.isin(d, back))]
+        return pa.table(cols, names=["a", "b", "held_a", "held_b"])
 
-    return entries.groupBy("part").applyInPandas(run, "a long, b long, held long")
+    return entries.groupBy("part").applyInArrow(run, "a long, b long, held_a long, held_b long")
 
 
 # ---- exact decision ----------------------------------------------------------------------
@@ -321,37 +355,38 @@ def join(docs: DataFrame, id_col="doc_id", text_col="text", words=5, percent=75)
     about = holders.select("node", "n", "bits")
 
     # Each node beside the pivot that it shares most prefix shingles with.
-    stars = shared.filter("pivot is not null").groupBy("node", "pivot").agg(F.sum("n").alias("n"))
-    best = stars.groupBy("node").agg(F.max(F.struct("n", "pivot")).alias("p")).select(F.col("p.pivot").alias("a"), F.col("node").alias("b"))
+    stars = shared.filter("pivot is not null").groupBy("node", "pivot").agg(F.sum("shared").alias("shared"))
+    best = stars.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("p")).select(F.col("p.pivot").alias("a"), F.col("node").alias("b"))
     left, right = (about.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
 
     def bound(batches):
         for batch in batches:
             n, m = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            keep = _may_link(n, m, _unequal_bits(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist()), percent)
+            at = np.arange(batch.num_rows)
+            unequal = Bitmaps(batch.column("bits_a").to_pylist() + batch.column("bits_b").to_pylist()).unequal(at, at + len(at))
+            keep = _may_link(n, m, (n + m - unequal) // 2, percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     near = best.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(bound, "a long, b long")
     links = verify(near, texts, holders.select("node", "kid", "th"), words, percent)
 
     # Rounds over the pairs that still join different components.
-    entries = shared.filter("key is not null").select("key", "node", "size")
-    k = 1
+    entries, k = shared.filter("key is not null").select("key", "node", "size", "place"), 4
     while True:
         comps = stage(components(links), "op9-components")
         placed = stage(entries.join(small_side(comps, 16), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component"), "op9-entries")
         per = placed.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("rows"), F.max(F.struct("n", "comp"))["comp"].alias("major"), F.count("*").alias("comps")).filter("comps > 1")
         chunks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
         tiled = placed.join(per, "key").withColumn("minor", F.col("comp") != F.col("major")).withColumn("chunk", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), chunks).cast("int")))))
-        tiled = tiled.select("key", "chunk", "minor", "node", "size", "comp")
-        tiled = stage(tiled, "op9-open")
-        spread = buckets(tiled.count(), 10 * TILE_ROWS)
-        more = cross_pairs(tiled.join(about.select("node", "bits"), "node").withColumn("part", F.pmod(F.xxhash64("key", "chunk"), F.lit(spread))), percent, k)
-        more = stage(more, "op9-cross")
+        tiled = stage(tiled.select("key", "chunk", "minor", "node", "size", "place", "comp"), "op9-open")
+        spread = buckets(tiled.count(), 5 * TILE_ROWS)
+        more = tiled.join(about.select("node", "bits"), "node").withColumn("part", F.pmod(F.xxhash64("key", "chunk"), F.lit(spread)))
+        more = stage(cross_pairs(more, percent, k), "op9-cross")
         links = stage(links.unionByName(verify(more, texts, holders.select("node", "kid", "th"), words, percent)).distinct(), "op9-links")
-        if more.agg(F.max("held")).first()[0] != 1:
+        back = stage(more.select(F.explode(F.array("held_a", "held_b")).alias("comp")).filter("comp is not null").distinct(), "op9-held")
+        if back.isEmpty():
             break
-        k *= 8
+        entries, k = placed.join(small_side(back, 8), "comp", "left_semi").select("key", "node", "size", "place"), 8 * k
     comps = stage(components(links), "op9-components")
     members = signed.filter("slice is null").select("kid", "th", "n", "node").join(small_side(comps, 16), "node", "left").select("kid", "th", "n", "node", F.coalesce("component", "node").alias("component"))
     return members, links
