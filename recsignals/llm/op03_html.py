@@ -16,9 +16,9 @@ lines are trimmed and joined by one newline in page order.
 
 Scale: one map over the pages, no shuffle; a page is held on its own.
 
-Null or empty html gives an empty text. Broken markup: an end tag closes what
+Null or empty html gives an empty text. Broken markup: a tag that never ends is text; an end tag closes what
 stands open inside its element, a stray one nothing; the first article or main
-part ends a skipped block that was never closed. Repeated rows each get a row;
+part ends a block skipped for its class or id that was never closed. Repeated rows each get a row;
 extra columns are kept only if named.
 """
 
@@ -44,6 +44,7 @@ SKIPPED_WORDS = frozenset(
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 REGIONS = frozenset("article main section div td body".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+COMMENT_WORDS = frozenset("comment comments reply replies respond disqus".split())
 _word = re.compile(r"[a-z]+").findall
 SIGMA = 1.0
 _KERNEL = np.exp(-0.5 * (np.arange(-3, 4) / SIGMA) ** 2)
@@ -56,8 +57,8 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int, bool]] = []
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, skipped, marked, region; as inside the element
-        self.skipped, self.marked, self.region = False, False, 0
+        self.open: list[tuple[str, int, bool, int]] = []  # tag, skipped, marked, region; as inside the element
+        self.skipped, self.marked, self.region = 0, False, 0  # skipped: 1 by class or id, 2 for certain
         self.regions, self.found, self.links = 0, False, 0
         self.data: list[str] = []
         self.tags = self.link_chars = 0
@@ -78,20 +79,21 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         mark = tag in ("article", "main")
-        skip = tag in SKIPPED and not (tag == "header" and self.marked)
+        skip = 2 * (tag in SKIPPED and not (tag == "header" and self.marked))
         for name, value in attrs:
             if not value or tag in ("html", "body"):
-                skip |= name == "hidden"
+                skip = max(skip, 2 * (name == "hidden"))
             elif name == "role":
                 mark |= value == "main"
-                skip |= value in SKIPPED_ROLES
+                skip = max(skip, 2 * (value in SKIPPED_ROLES))
             elif name in ("class", "id") and tag != "main":
-                skip |= not SKIPPED_WORDS.isdisjoint(_word(value.lower()))
-        if mark and not skip and not self.found:
-            self.found = True
-            self.skipped = False
+                words = SKIPPED_WORDS.intersection(_word(value.lower()))
+                if words:
+                    skip = max(skip, 1 if words.isdisjoint(COMMENT_WORDS) else 2)
+        if mark and not skip and not self.found and self.skipped < 2:
+            self.found, self.skipped = True, 0
         self.open.append((tag, self.skipped, self.marked, self.region))
-        self.skipped |= skip
+        self.skipped = max(self.skipped, skip)
         if mark or tag in REGIONS and not self.marked:
             self.regions += 1
             self.region = self.regions
@@ -109,7 +111,8 @@ class Lines(HTMLParser):
             self.end_line()
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
-                self.end_line()
+                if any(o[0] in BLOCKS or o[1] != self.skipped for o in self.open[i:]):
+                    self.end_line()
                 _, self.skipped, self.marked, self.region = self.open[i]
                 self.links -= sum(o[0] == "a" for o in self.open[i:])
                 del self.open[i:]
