@@ -38,9 +38,9 @@ from recsignals.llm.difference_cover import PERIOD, CoverSample
 from recsignals.llm.textbuf import U64, PrefixHash, blocks, mix, segments
 
 #: Contexts of one anchor that are sorted in a block, and text bytes of a block.
-HOT_CONTEXTS, BLOCK_TEXT = 20_000, 6 << 20
+HOT_CONTEXTS, BLOCK_TEXT = 5_000, 2 << 20
 #: Anchors per task of step 2, context bytes per task of step 3.
-BUCKET_ANCHORS, BUCKET_CONTEXTS = 1_000_000, 32 << 20
+BUCKET_ANCHORS, BUCKET_CONTEXTS = 300_000, 8 << 20
 _SCAN_BYTES = 256 << 10
 
 
@@ -103,10 +103,6 @@ _ARRAYS = {"h": np.uint64, "c": np.uint64, "kid": np.int64, "th": np.int64, "sta
 _PACKED = "bucket int, " + ", ".join(f"p_{k} binary" for k in _ARRAYS)
 
 
-def _nulls(n: int, kind) -> pa.Array:
-    return pa.nulls(n, kind)
-
-
 def _row_types(schema: str) -> list[tuple[str, pa.DataType]]:
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     return [(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")]

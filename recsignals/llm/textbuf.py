@@ -16,7 +16,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that a task works on at a time (single longer texts excepted).
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
