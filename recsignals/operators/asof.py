@@ -9,15 +9,13 @@ Plan, built so that a key holding a large share of rows is still spread out:
 1. *probes* — distinct (keys, left time).  The answer depends only on these,
    so duplicated candidates (a popular item shown in many sessions at the
    same hour) collapse before any shuffle (partial aggregation).
-2. hot keys (more probes + right rows than ``recsignals.hot_key_rows``; see
-   :mod:`recsignals.operators.frames`) get a time bucket as extra partition
-   column, other keys bucket 0.  Probes and right rows are sorted together
-   inside (keys, bucket); ``last(..., ignorenulls)`` over the running frame
-   finds the latest right row.  Right rows at the probe's own time sort
-   after the probe (strict) or before it (inclusive).
-3. for hot keys, matches from earlier buckets come from a *carry* row at
-   the start of each probed bucket: the latest right row of the last earlier
-   non-empty bucket, found on a table of one row per (key, bucket).
+2. every key is cut into time buckets (:mod:`recsignals.operators.frames`).
+   Probes and right rows are sorted together inside (keys, bucket); the running
+   maximum of (time, features) is the latest right row. Right rows at the
+   probe's own time sort after the probe (strict) or before it (inclusive).
+3. matches from earlier buckets come from a *carry* row at the start of each
+   probed bucket: the latest right row of the last earlier non-empty bucket,
+   found on a table of one row per (key, bucket).
 4. the per-probe answers are equi-joined back to the left rows on
    (keys, left time); Spark broadcasts them when its size estimate allows and
    AQE splits skewed join partitions otherwise.
@@ -32,14 +30,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsignals.operators.frames import DEFAULT_BUCKET_US, bucket_of, hot_key_rows, hot_keys, mark_hot
+from recsignals.operators.frames import DEFAULT_BUCKET_US, bucket_of
 from recsignals.functions.expr import micros
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
               right_ts: str | None = None, strict: bool = True,
               right_cols: list[str] | None = None, right_on: list[str] | None = None,
-              bucket_us: int | None = None, hot_threshold: int | None = None,
+              bucket_us: int | None = None,
               probes_from: DataFrame | None = None, stage_right: bool = False) -> DataFrame:
     """Left as-of join; adds ``right_cols`` (default: all non-key right
     columns, including the right time column when it is named differently).
@@ -63,7 +61,6 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
         from recsignals.session import stage
         right = stage(right.select(*dict.fromkeys([*right_on, right_ts, *right_cols])), "asof-right")
     src = probes_from if probes_from is not None else left
-    threshold = hot_key_rows(left.sparkSession) if hot_threshold is None else hot_threshold
     probes = (src.select(*[F.col(c).alias(k) for c, k in zip(on, kn)], micros(left_ts).alias("__t"))
               .where(F.col("__t").isNotNull())
               .where(F.lit(True) if not kn else F.expr(" AND ".join(f"{k} IS NOT NULL" for k in kn)))
@@ -73,18 +70,9 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
                            micros(right_ts).alias("__t"), rv)
               .where(F.col("__t").isNotNull())
               .where(F.lit(True) if not kn else F.expr(" AND ".join(f"{k} IS NOT NULL" for k in kn))))
-    hot = hot_keys(probes.select(*kn).unionByName(rights.select(*kn)), kn, threshold)
-
-    def bucketed(d):
-        d = mark_hot(d, kn, hot)
-        if hot is None:
-            return d.withColumn("__b", F.lit(0).cast("bigint"))
-        return d.withColumn("__b", F.when(F.col("__hot"), bucket_of(F.col("__t"), width))
-                            .otherwise(F.lit(0).cast("bigint")))
-
-    probes = bucketed(probes)
+    probes = probes.withColumn("__b", bucket_of(F.col("__t"), width))
     # (time, features) struct: max() picks the latest time, ties by features
-    rights = bucketed(rights).withColumn("__m", F.struct("__t", "__v"))
+    rights = rights.withColumn("__b", bucket_of(F.col("__t"), width)).withColumn("__m", F.struct("__t", "__v"))
     mtype = rights.schema["__m"].dataType
 
     # main pass inside (keys, bucket): carry first, then time order
@@ -93,17 +81,16 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
                           F.lit(None).cast(mtype).alias("__m"))
             .unionByName(rights.select(*kn, "__b", F.col("__t").alias("__o"),
                                        F.lit(right_order).alias("__side"), "__m")))
-    if hot is not None:
-        # carry (hot keys only): latest right row of earlier buckets, per probed bucket
-        last_per_bucket = rights.where(F.col("__hot")).groupBy(*kn, "__b").agg(F.max("__m").alias("__m"))
-        probed_buckets = probes.where(F.col("__hot")).select(*kn, "__b").distinct()
-        both = (probed_buckets.withColumn("__m", F.lit(None).cast(mtype)).withColumn("__side", F.lit(0))
-                .unionByName(last_per_bucket.withColumn("__side", F.lit(1))))
-        wb = Window.partitionBy(*kn).orderBy("__b", "__side").rowsBetween(Window.unboundedPreceding, 0)
-        carry = (both.select(*kn, "__b", "__side", F.last("__m", ignorenulls=True).over(wb).alias("__m"))
-                 .where((F.col("__side") == 0) & F.col("__m").isNotNull())
-                 .select(*kn, "__b", F.lit(-1).cast("bigint").alias("__o"), "__m"))
-        main = main.unionByName(carry.withColumn("__side", F.lit(-1)))
+    # carry: latest right row of earlier buckets, per probed bucket
+    last_per_bucket = rights.groupBy(*kn, "__b").agg(F.max("__m").alias("__m"))
+    probed_buckets = probes.select(*kn, "__b").distinct()
+    both = (probed_buckets.withColumn("__m", F.lit(None).cast(mtype)).withColumn("__side", F.lit(0))
+            .unionByName(last_per_bucket.withColumn("__side", F.lit(1))))
+    wb = Window.partitionBy(*kn).orderBy("__b", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    carry = (both.select(*kn, "__b", "__side", F.last("__m", ignorenulls=True).over(wb).alias("__m"))
+             .where((F.col("__side") == 0) & F.col("__m").isNotNull())
+             .select(*kn, "__b", F.lit(-(2**63)).cast("bigint").alias("__o"), "__m"))
+    main = main.unionByName(carry.withColumn("__side", F.lit(-1)))
     # running max of the (time, features) struct = latest right row so far,
     # ties by features; the sort itself is on two integer columns only
     w = Window.partitionBy(*kn, "__b").orderBy("__o", "__side").rowsBetween(Window.unboundedPreceding, 0)

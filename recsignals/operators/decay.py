@@ -21,8 +21,9 @@ in double arithmetic, the same value a pairwise computation produces, so
 nothing is lost.  Each partition holds at most K steps of one key.
 
 Last-N statistics come from an array of the last ``max(windows)``
-interactions carried by every interaction row (built in index blocks with a
-halo of ``max(windows) - 1`` rows), picked up by a strict as-of join.
+interactions carried by the last interaction of every (keys, time) (built in
+index blocks with a halo of ``max(windows) - 1`` rows), picked up by a strict
+as-of join. Interactions at one time are ordered by their values.
 """
 
 from __future__ import annotations
@@ -82,6 +83,8 @@ def session_decay_history(train: DataFrame, interactions: DataFrame, cols: list[
     if not cols:
         raise ValueError("cols must list the interaction columns")
     f = decay_value / half_life
+    if f >= 0:
+        raise ValueError("decay_value must be negative: older interactions weigh less")
     # Half-life decay (ln 0.5 over an integer number of steps) is evaluated
     # in base 2, with anchored sums kept per step residue mod h: terms whose
     # gap is a multiple of h then combine as exact powers of two, so dyadic
@@ -156,15 +159,16 @@ def session_decay_history(train: DataFrame, interactions: DataFrame, cols: list[
 
     # ---- last-N arrays ----------------------------------------------------
     nmax = max(windows)
-    idx = row_index(inter, keys, ts, alias="__j")
+    # Interactions of a key at one time follow in the order of their values; the array at the last of them holds them all.
+    idx = row_index(inter, keys, ts, tiebreak=list(cols), alias="__j")
     g = F.floor((F.col("__j") - 1) / INDEX_BLOCK_ROWS).cast("bigint")
     halo = ((F.col("__j") - 1) % INDEX_BLOCK_ROWS) >= INDEX_BLOCK_ROWS - (nmax - 1)
     idx = (idx.withColumn("__h", F.explode(F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
            .withColumn("__g", g + F.col("__h")))
     wl = Window.partitionBy(*keys, "__g").orderBy("__j").rowsBetween(-(nmax - 1), 0)
-    item = F.struct(F.col("interaction_step").alias("s"), *[F.col(c).cast("double").alias(c) for c in cols])
-    lastn = (idx.select(*keys, ts, "__h", F.array_sort(F.collect_list(item).over(wl)).alias("__arr"))
-             .where(F.col("__h") == 0).drop("__h"))
+    item = F.struct(F.col("__j").alias("j"), F.col("interaction_step").alias("s"), *[F.col(c).cast("double").alias(c) for c in cols])
+    lastn = (idx.select(*keys, ts, "__h", "__j", F.array_sort(F.collect_list(item).over(wl)).alias("__arr"))
+             .where(F.col("__h") == 0).groupBy(*keys, ts).agg(F.max_by("__arr", "__j").alias("__arr")))
     att = asof_join(dec, lastn, keys, ts, strict=True, right_cols=["__arr"])
 
     s_now = F.col("interaction_step")

@@ -1,41 +1,36 @@
 """Window frames that stay distributed when one key is hot.
 
 A plain ``Window.partitionBy(key)`` puts every row of a key into one task.
-Here a counting pass first finds the *hot* keys (more than
-``hot_key_rows`` rows, default 2,000,000; set ``recsignals.hot_key_rows`` in
-the session conf).  Their list holds at most ``rows / hot_key_rows``
-entries, so it is broadcast with a size bound that holds by construction.
-Rows of hot keys get a time bucket as an extra partition column; all other
-rows use bucket 0, i.e. the ordinary per-key window.  The cross-bucket part
-is restored exactly:
-
-* :func:`range_agg` — bounded RANGE frames ``[t+lo, t+hi]``.  Hot rows that
-  lie within the widest frame of the next bucket are copied into it as
-  *halo* rows (at most one copy, since the bucket is at least as wide as the
-  frame) and dropped again after the window.
+Here every key, null included, is cut into time buckets, which become an extra
+partition column; the part of a frame outside the bucket is restored exactly:
+
+* :func:`range_agg` — bounded RANGE frames ``[t+lo, t+hi]``. Rows that lie
+  within the widest frame of the next bucket are copied into it as *halo* rows
+  (at most one copy, since the bucket is at least as wide as the frame) and
+  dropped again after the window.
 * :func:`running_agg` — unbounded-preceding frames (``ALL<=`` / ``ALL<``).
-  Per-bucket partial aggregates of hot keys are prefix-combined over the
-  buckets of the key and re-enter the window as one synthetic *carry* row
-  at the start of each bucket.
+  Per-bucket partial aggregates are prefix-combined over the buckets of the key
+  and re-enter the window as one synthetic *carry* row per bucket.
 * :func:`row_index` — 1-based position per key in time order, via the same
   carry row holding the count of earlier buckets.
+
+One plan serves every key and every input size; nothing is collected. Rows of a
+key at one time are peers: each reads the same frame. Callers whose keys are
+dense inside a bucket reduce the log to (key, time) first.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsignals.functions.expr import DAY_US, micros
 
 DEFAULT_BUCKET_US = 7 * DAY_US
-DEFAULT_HOT_KEY_ROWS = 2_000_000
-
-_T, _B, _H, _K, _HOT = "__t", "__b", "__halo", "__kind", "__hot"
-
 
-def hot_key_rows(spark) -> int:
-    return int(spark.conf.get("recsignals.hot_key_rows", str(DEFAULT_HOT_KEY_ROWS)))
+_T, _B, _H, _K = "__t", "__b", "__halo", "__kind"
 
 
 def bucket_of(t_us: Column, width_us: int) -> Column:
@@ -44,41 +39,33 @@ def bucket_of(t_us: Column, width_us: int) -> Column:
     return ((t_us - F.pmod(t_us, w)) / w).cast("bigint")
 
 
-def hot_keys(key_rows: DataFrame, keys: list[str], threshold: int) -> DataFrame | None:
-    """Keys with more than ``threshold`` rows, or None when there are none.
+def _with_bucket(df: DataFrame, ts: str, width: int) -> DataFrame:
+    return df.withColumn(_T, micros(ts)).withColumn(_B, bucket_of(F.col(_T), width))
 
-    The count is map-side combined; the result has at most
-    ``rows / threshold`` entries, so bringing it to the driver and
-    broadcasting it back is bounded by construction (the same path a
-    broadcast join takes).  Knowing that no key is hot lets the caller plan
-    the plain per-key window."""
-    spark = key_rows.sparkSession
-    found = (key_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-             .where(F.col("__n") > threshold).select(*keys).collect())
-    if not found:
-        return None
-    return spark.createDataFrame(found, key_rows.select(*keys).schema).withColumn(_HOT, F.lit(True))
 
+def squares(df: DataFrame, keys: list[str], cols: list[str]) -> tuple[DataFrame, dict[str, tuple[str, str]]]:
+    """Adds per column the value and square that a variance is summed from.
 
-def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
-    """Add boolean ``__hot`` from the (small, bounded) hot-key list."""
-    if hot is None:
-        return df.withColumn(_HOT, F.lit(False))
-    if not keys:
-        return df.withColumn(_HOT, F.lit(True))
-    return (df.join(F.broadcast(hot), keys, "left")
-            .withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False))))
+    Integers become exact decimals. Other numbers are taken relative to their
+    key's mean, which leaves the variance as it is and keeps the sums small."""
+    kinds = dict(df.dtypes)
+    exact = {c for c in cols if kinds[c] in ("tinyint", "smallint", "int", "bigint")}
+    rest = [c for c in dict.fromkeys(cols) if c not in exact]
+    if rest:
+        means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"__mean_{c}") for c in rest])
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys], F.lit(True))
+        df = df.join(means.withColumnsRenamed({k: f"__key_{k}" for k in keys}), same, "left").drop(*[f"__key_{k}" for k in keys])
+    out = {c: (f"__x_{c}", f"__xx_{c}") for c in cols}
+    for c, (x, xx) in out.items():
+        v = F.col(c).cast("decimal(19,0)") if c in exact else F.col(c).cast("double") - F.col(f"__mean_{c}")
+        df = df.withColumn(x, v).withColumn(xx, F.col(x) * F.col(x))
+    return df.drop(*[f"__mean_{c}" for c in rest]), out
 
 
-def _with_bucket(df: DataFrame, keys: list[str], ts: str, width: int,
-                 threshold: int | None) -> tuple[DataFrame, bool]:
-    threshold = hot_key_rows(df.sparkSession) if threshold is None else threshold
-    hot = hot_keys(df.select(*keys), keys, threshold)
-    d = mark_hot(df.withColumn(_T, micros(ts)), keys, hot)
-    if hot is None:
-        return d.withColumn(_B, F.lit(0).cast("bigint")), False
-    return d.withColumn(_B, F.when(F.col(_HOT), bucket_of(F.col(_T), width))
-                        .otherwise(F.lit(0).cast("bigint"))), True
+def spread(n: Column, s: Column, q: Column) -> Column:
+    """Sample standard deviation from a count and sums of :func:`squares`."""
+    top = n * q - s * s  # exact for decimals
+    return F.when(n > 1, F.sqrt(F.greatest(top.cast("double"), F.lit(0.0)) / n.cast("double") / (n - 1).cast("double")))
 
 
 def _agg(fn: str, c: Column) -> Column:
@@ -89,8 +76,7 @@ def _agg(fn: str, c: Column) -> Column:
 
 
 def range_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
-              frames: dict[str, tuple[int, int]], bucket_us: int | None = None,
-              hot_threshold: int | None = None) -> DataFrame:
+              frames: dict[str, tuple[int, int]], bucket_us: int | None = None) -> DataFrame:
     """Add RANGE-frame aggregates over ``ts`` per ``keys``.
 
     ``frames``: label -> (lo_us, hi_us) offsets, e.g. ``{"24h": (-24*H, -1)}``
@@ -100,35 +86,32 @@ def range_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
     """
     widest = max(-lo for lo, _ in frames.values())
     width = max(int(bucket_us or DEFAULT_BUCKET_US), int(widest))
-    d, split = _with_bucket(df, keys, ts, width, hot_threshold)
-    if split:
-        near_next = F.col(_HOT) & (F.col(_T) >= (F.col(_B) + 1) * F.lit(width) - F.lit(int(widest)))
-        d = (d.withColumn(_H, F.explode(F.when(near_next, F.array(F.lit(0), F.lit(1)))
-                                        .otherwise(F.array(F.lit(0)))))
-             .withColumn(_B, F.col(_B) + F.col(_H)))
-    else:
-        d = d.withColumn(_H, F.lit(0))
+    d = _with_bucket(df, ts, width)
+    near_next = F.col(_T) >= (F.col(_B) + 1) * F.lit(width) - F.lit(int(widest))
+    d = (d.withColumn(_H, F.explode(F.when(near_next, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+         .withColumn(_B, F.col(_B) + F.col(_H)))
     w = Window.partitionBy(*keys, _B).orderBy(_T)
     outs = [_agg(fn, F.col(c)).over(w.rangeBetween(*frames[fr])).alias(alias)
             for alias, fn, c, fr in specs]
-    return d.select("*", *outs).where(F.col(_H) == 0).drop(_T, _B, _H, _HOT)
+    return d.select("*", *outs).where(F.col(_H) == 0).drop(_T, _B, _H)
 
 
 _NEEDS = {"sum": "sn", "count": "n", "avg": "sn", "mean": "sn", "max": "x", "min": "m",
-          "std": "snq", "stddev": "snq"}
+          "std": "vnq", "stddev": "vnq"}
 
 
 def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
-                include_current: bool = True, bucket_us: int | None = None,
-                hot_threshold: int | None = None) -> DataFrame:
+                include_current: bool = True, bucket_us: int | None = None) -> DataFrame:
     """Unbounded-preceding RANGE aggregates: ``ALL<=`` (peers included) when
     ``include_current`` else ``ALL<`` (strictly earlier times).
 
     ``specs``: (alias, fn, column) with fn in sum/count/avg/min/max/std;
     ``column`` None with fn count means ``count(*)``.  ``std`` is the sample
-    standard deviation from sums of squares: exact for integer inputs.
+    standard deviation from :func:`squares`.
     """
     width = int(bucket_us or DEFAULT_BUCKET_US)
+    columns = df.columns
+    df, sq = squares(df, keys, [c for _, fn, c in specs if fn in ("std", "stddev")])
     need: dict = {}
     for _, fn, c in specs:
         need.setdefault(c, set()).update(_NEEDS[fn])
@@ -147,26 +130,23 @@ def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
         if "m" in nm:
             comp.append(x.alias(nm["m"]))
         if "q" in nm:
-            comp.append((x.cast("double") * x.cast("double")).alias(nm["q"]))
-    real, split = _with_bucket(df, keys, ts, width, hot_threshold)
+            comp += [F.col(sq[c][0]).alias(nm["v"]), F.col(sq[c][1]).alias(nm["q"])]
+    real = _with_bucket(df, ts, width)
     real = real.withColumn(_K, F.lit(1)).select("*", *comp)
 
     def combine(p, e):
         return F.max(e) if p == "x" else F.min(e) if p == "m" else F.sum(e)
 
-    # hot keys only: per-bucket partial aggregates, then the exclusive prefix
-    # over the buckets of the key (one small row per (key, bucket))
+    # per-bucket partial aggregates, then the exclusive prefix over the buckets
+    # of the key (one small row per (key, bucket))
     allp = [(p, n) for nm in names.values() for p, n in nm.items()]
-    if split:
-        totals = real.where(F.col(_HOT)).groupBy(*keys, _B).agg(*[combine(p, F.col(n)).alias(n) for p, n in allp])
-        wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-        carry = (totals.select(*keys, _B, F.count(F.lit(1)).over(wp).alias("__prior"),
-                               *[combine(p, F.col(n)).over(wp).alias(n) for p, n in allp])
-                 .where(F.col("__prior") > 0).drop("__prior")
-                 .withColumn(_T, F.col(_B) * F.lit(width) - F.lit(1)).withColumn(_K, F.lit(0)))
-        u = real.unionByName(carry, allowMissingColumns=True)
-    else:
-        u = real
+    totals = real.groupBy(*keys, _B).agg(*[combine(p, F.col(n)).alias(n) for p, n in allp])
+    wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (totals.select(*keys, _B, F.count(F.lit(1)).over(wp).alias("__prior"),
+                           *[combine(p, F.col(n)).over(wp).alias(n) for p, n in allp])
+             .where(F.col("__prior") > 0).drop("__prior")
+             .withColumn(_T, F.col(_B) * F.lit(width) - F.lit(1)).withColumn(_K, F.lit(0)))
+    u = real.unionByName(carry, allowMissingColumns=True)
     hi = 0 if include_current else -1
     w = Window.partitionBy(*keys, _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, hi)
     acc = {c: {p: combine(p, F.col(n)).over(w) for p, n in nm.items()} for c, nm in names.items()}
@@ -185,29 +165,23 @@ def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
         elif fn in ("avg", "mean"):
             e = F.when(N > 0, a["s"].cast("double") / N)
         else:
-            S = a["s"].cast("double")
-            var = (a["q"] - S * S / N) / (N - 1)
-            e = F.when(N > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+            e = spread(N, a["v"], a["q"])
         outs.append(e.alias(alias))
-    helper = [_T, _B, _K, _HOT] + [n for _, n in allp]
-    return u.select("*", *outs).where(F.col(_K) == 1).drop(*helper)
+    kept = F.col(_K) == 1
+    return u.select(*columns, _K, *outs).where(kept).drop(_K)
 
 
 def row_index(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str] | None = None,
-              alias: str = "row_idx", bucket_us: int | None = None,
-              hot_threshold: int | None = None) -> DataFrame:
+              alias: str = "row_idx", bucket_us: int | None = None) -> DataFrame:
     """1-based row position per key ordered by (ts, *tiebreak)."""
     width = int(bucket_us or DEFAULT_BUCKET_US)
-    real, split = _with_bucket(df, keys, ts, width, hot_threshold)
-    real = real.withColumn(_K, F.lit(1)).withColumn("__n", F.lit(1).cast("bigint"))
-    u = real
-    if split:
-        totals = real.where(F.col(_HOT)).groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
-        wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-        carry = (totals.select(*keys, _B, F.sum("__n").over(wp).alias("__n")).where(F.col("__n").isNotNull())
-                 .withColumn(_T, F.col(_B) * F.lit(width) - F.lit(1)).withColumn(_K, F.lit(0)))
-        u = real.unionByName(carry, allowMissingColumns=True)
+    real = _with_bucket(df, ts, width).withColumn(_K, F.lit(1)).withColumn("__n", F.lit(1).cast("bigint"))
+    totals = real.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
+    wp = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (totals.select(*keys, _B, F.sum("__n").over(wp).alias("__n")).where(F.col("__n").isNotNull())
+             .withColumn(_T, F.col(_B) * F.lit(width) - F.lit(1)).withColumn(_K, F.lit(0)))
+    u = real.unionByName(carry, allowMissingColumns=True)
     order = [F.col(_T), F.col(_K)] + [F.col(c).asc_nulls_first() for c in (tiebreak or [])]
     w = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (u.select("*", F.sum("__n").over(w).alias(alias)).where(F.col(_K) == 1)
-            .drop(_T, _B, _K, _HOT, "__n"))
+            .drop(_T, _B, _K, "__n"))

@@ -1,7 +1,7 @@
 """In-session and target operators (C9, C27, C29-C31, C36-C39; O4, O8, A7, A11).
 
-Whole-session statistics are partial aggregations joined back and ranks
-count distinct values, so a large session is never sorted in one task
+Whole-session statistics are partial aggregations joined back and ranks run
+inside bands of values, so a large session is never sorted in one task
 (:mod:`recsignals.operators.groups`).  Negative downsampling keeps the
 ``limit`` smallest hashes per session with a salted two-stage top-k.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsignals.operators.groups import group_stats, has_hot_group, rank_within
+from recsignals.operators.groups import _ns_join, band, group_stats, rank_many, rank_within
 
 
 def candidate_count(df: DataFrame, session: str, item: str) -> DataFrame:
@@ -32,10 +32,8 @@ def session_stats(df: DataFrame, session: str, item: str, measures: dict[str, st
     d = d.withColumns({
         "is_cheapest_in_session": F.when(F.col(price) == F.col(f"session_min_{ps}"), 1).otherwise(0),
         "is_most_expensive_in_session": F.when(F.col(price) == F.col(f"session_max_{ps}"), 1).otherwise(0)})
-    src = d
-    plain = not has_hot_group(df, [session])
     for short, c in measures.items():
-        d = rank_within(d, [session], c, f"{short}_rank", ascending=True, nulls="last", source=src, plain=plain)
+        d = rank_within(d, [session], c, f"{short}_rank", ascending=True, nulls="last")
         d = d.withColumn(f"{short}_diff_percent",
                          100.0 * (F.col(c) - F.col(f"session_avg_{short}")) / F.nullif(F.col(f"session_avg_{short}"), F.lit(0)))
     return d
@@ -95,75 +93,66 @@ def ranked_list(df: DataFrame, session: str, item: str, score: str, alias: str =
 def session_rank(df: DataFrame, session: str, item: str, score: str, alias: str = "rank") -> DataFrame:
     """Position of each candidate in its session by descending score, ties
     by item (C36)."""
-    d = df.withColumn("__k", F.struct((-F.col(score)).alias("s"), F.col(item).alias("i")))
-    return rank_within(d, [session], "__k", alias).drop("__k")
+    d = df.withColumn("__v", -F.col(score).cast("double")).withColumn("__band", band(F.col("__v")))
+    w = Window.partitionBy(session, "__band").orderBy(F.col("__v").asc_nulls_last(), item)
+    wb = Window.partitionBy(session).orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)
+    below = (d.groupBy(session, "__band").agg(F.count(F.lit(1)).alias("__c"))
+             .withColumn("__below", F.coalesce(F.sum("__c").over(wb), F.lit(0))).drop("__c"))
+    out = _ns_join(d.withColumn("__in", F.rank().over(w)), below, [session, "__band"])
+    return out.withColumn(alias, (F.col("__in") + F.col("__below")).cast("bigint")).drop("__v", "__band", "__in", "__below")
 
 
 def auc_ranksum(df: DataFrame, score: str, label: str) -> DataFrame:
-    """ROC AUC by the rank-sum formula with average ranks for ties.
-    Runs on per-score counts, so only the distinct scores are ordered."""
+    """ROC AUC by the rank-sum formula with average ranks for ties (C39); null
+    when a class is empty. Distinct scores are ordered inside bands of the
+    score; only the bands' totals, a few thousand rows whatever the input, are
+    ordered as a whole."""
     c = df.groupBy(score).agg(F.sum(F.when(F.col(label) > 0, 1).otherwise(0)).alias("__p"),
-                              F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("__below", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    c = c.withColumn("__avg_rank", F.col("__below") + (F.col("__n") + 1) / 2.0)
+                              F.count(F.lit(1)).alias("__n")).withColumn("__band", band(F.col(score)))
+    totals = c.groupBy("__band").agg(F.sum("__n").alias("__t"))
+    below = totals.select("__band", (F.coalesce(F.sum("__t").over(Window.orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("__before"))
+    w = Window.partitionBy("__band").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("__in", F.coalesce(F.sum("__n").over(w), F.lit(0))).join(F.broadcast(below), "__band")
+    c = c.withColumn("__avg_rank", F.col("__in") + F.col("__before") + (F.col("__n") + 1) / 2.0)
     t = c.agg(F.sum(F.col("__p") * F.col("__avg_rank")).alias("rs"), F.sum("__p").alias("np"),
               F.sum(F.col("__n") - F.col("__p")).alias("nn"))
-    return t.select(((F.col("rs") - F.col("np") * (F.col("np") + 1) / 2.0) / (F.col("np") * F.col("nn"))).alias("auc"),
+    pairs = F.nullif(F.col("np") * F.col("nn"), F.lit(0))
+    return t.select(((F.col("rs") - F.col("np") * (F.col("np") + 1) / 2.0) / pairs).alias("auc"),
                     F.col("np").alias("n_pos"), F.col("nn").alias("n_neg"))
 
 
-def session_ranks(df: DataFrame, session: str, tables: list[str], sitewide_table: str, cols_search: list[str],
-                  cols_sitewide: list[str], weights: dict[str, float], table_weights: dict[str, float],
-                  price_columns: list[str]) -> DataFrame:
-    """In-session ranks of item-history columns (C10; W33, W34; F12).
-
-    Columns are discovered by name: for every ordered pair of a table's
-    columns, the average ratio and both raw columns are listed when present,
-    so raw columns repeat (twice per pair) and count with that multiplicity
-    in the mean / median rank.  Ranks are descending, ties share the lowest
-    rank, nulls stay null.  Price log columns rank ascending, quality
-    columns descending (only those present)."""
+def rank_votes(raw: dict[str, list[str]], ratios: dict[str, list[str]]) -> dict[str, int]:
+    """How often each column's rank counts in the mean and median rank: a raw
+    column once for either place in every ordered pair of its table's columns,
+    a ratio once."""
+    votes = {}
+    for table, columns in raw.items():
+        votes |= {f"{table}_{c}": 2 * (len(columns) - 1) for c in columns}
+        votes |= {f"{table}_{r}": 1 for r in ratios.get(table, [])}
+    return {c: n for c, n in votes.items() if n}
+
+
+def session_ranks(df: DataFrame, session: str, row_id: str, votes: dict[str, int],
+                  scores: dict[str, dict[str, float]], table_weights: dict[str, float],
+                  ascending: list[str] = (), descending: list[str] = ()) -> DataFrame:
+    """In-session ranks (C10; W33, W34; F12): of the columns in ``votes`` and of
+    one weighted score per table (``scores``: table -> column -> weight), all
+    descending; of ``ascending`` and ``descending`` columns besides. Ranks are
+    shared by ties; nulls stay null. Adds ``rank_{session}_{column}`` for each,
+    and the mean and median of the voting ranks with their multiplicity and the
+    table-weighted total score. A column that is missing is an error."""
     from recsignals.functions.expr import array_mean, array_median, nz_sum
 
-    cols = set(df.columns)
-    existing = []
-    for t in tables:
-        tc = cols_sitewide if t == sitewide_table else cols_search
-        for c1 in tc:
-            for c2 in tc:
-                if c1 != c2:
-                    for name in (f"{t}_{c1}_to_{c2}_avg_ratio", f"{t}_{c1}", f"{t}_{c2}"):
-                        if name in cols:
-                            existing.append(name)
-    plain = not has_hot_group(df, [session])
-    src = df
-    for c in dict.fromkeys(existing):
-        df = rank_within(df, [session], c, f"rank_{session}_{c}", ascending=False, nulls="keep", source=src,
-                         plain=plain)
-    wranks = []
-    for t in tables:
-        tc = cols_sitewide if t == sitewide_table else cols_search
-        if all(f"{t}_{c}" in cols for c in tc):
-            df = df.withColumn(f"{t}_weighted_score",
-                               nz_sum([F.col(f"{t}_{c}") * weights[c] for c in tc]))
-            df = rank_within(df, [session], f"{t}_weighted_score", f"rank_{session}_{t}_weighted_score",
-                             ascending=False, nulls="keep", plain=plain)
-            wranks.append(f"rank_{session}_{t}_weighted_score")
-    rank_cols = wranks + [f"rank_{session}_{c}" for c in existing]
-    present = [t for t in tables if f"{t}_weighted_score" in df.columns]
-    df = df.withColumns({
-        "avg_content_search_and_sitewide_rank": array_mean(rank_cols),
-        "median_content_search_and_sitewide_rank": array_median(rank_cols),
-        "total_content_search_and_sitewide_weighted_score":
-            nz_sum([F.col(f"{t}_weighted_score") * table_weights[t] for t in present])})
-    low = [f"{c}_log" for c in price_columns]
-    high = ["discount_rate", "selling_rate", "content_rate_avg_bayesian", "content_review_count_norm",
-            "content_review_wth_media_count_norm", "wilson_score_rate_to_review", "wilson_score_review_to_media"]
-    for c in low:
-        if c in cols:
-            df = rank_within(df, [session], c, f"rank_{session}_{c}", ascending=True, nulls="keep", plain=plain)
-    for c in high:
-        if c in cols:
-            df = rank_within(df, [session], c, f"rank_{session}_{c}", ascending=False, nulls="keep", plain=plain)
-    return df
+    needed = {*votes, *ascending, *descending, *(c for w in scores.values() for c in w)}
+    if needed - set(df.columns):
+        raise ValueError(f"missing columns: {sorted(needed - set(df.columns))}")
+    df = df.withColumns({f"{t}_weighted_score": nz_sum([F.col(c) * w for c, w in by.items()]) for t, by in scores.items()})
+    votes = {f"{t}_weighted_score": 1 for t in scores} | votes
+    name = lambda c: f"rank_{session}_{c}"
+    down = list(dict.fromkeys([*votes, *descending]))
+    df = rank_many(df, row_id, [(name(c), session, c, False) for c in down] + [(name(c), session, c, True) for c in ascending])
+    cast = [name(c) for c, n in votes.items() for _ in range(n)]
+    return df.withColumns({
+        "avg_content_search_and_sitewide_rank": array_mean(cast),
+        "median_content_search_and_sitewide_rank": array_median(cast),
+        "total_content_search_and_sitewide_weighted_score": nz_sum([F.col(f"{t}_weighted_score") * w for t, w in table_weights.items() if t in scores])})

@@ -220,6 +220,11 @@ _SR_OUT = ["avg_content_search_and_sitewide_rank", "median_content_search_and_si
            "rank_session_id_content_search_weighted_score"]
 
 
+_SR_TABLES = {"content_sitewide": _SITE, "content_search": _SEARCH}
+_SR_RATIOS = {"content_sitewide": [f"{a}_to_{b}_avg_ratio" for a, b in P.SITE_RATIO_GROUPS],
+              "content_search": [f"{a}_to_{b}_avg_ratio" for a, b in P.SEARCH_RATIO_GROUPS]}
+
+
 def _session_ranks_sql():
     from recsignals.plans.q_history import _hist_sql
 
@@ -227,16 +232,10 @@ def _session_ranks_sql():
                      P.SITE_WEIGHTS, name="hs")
     srch = _hist_sql("o_item_log", ["item_id"], "date", _SEARCH, P.SEARCH_RATIO_GROUPS, "content_search",
                      P.SEARCH_WEIGHTS, name="hq")
-    groups = {"content_sitewide": [f"content_sitewide_{a}_to_{b}_avg_ratio" for a, b in P.SITE_RATIO_GROUPS],
-              "content_search": [f"content_search_{a}_to_{b}_avg_ratio" for a, b in P.SEARCH_RATIO_GROUPS]}
-    existing = []
-    for t, tc in (("content_sitewide", _SITE), ("content_search", _SEARCH)):
-        for c1 in tc:
-            for c2 in tc:
-                if c1 != c2:
-                    for name in (f"{t}_{c1}_to_{c2}_avg_ratio", f"{t}_{c1}", f"{t}_{c2}"):
-                        if name in groups[t] or name in (f"{t}_{c1}", f"{t}_{c2}"):
-                            existing.append(name)
+    # six, two and one votes: fixed by the feature's definition
+    existing = [f"content_sitewide_{c}" for c in _SITE] * 6 + [f"content_search_{c}" for c in _SEARCH] * 2
+    groups = {t: [f"{t}_{r}" for r in _SR_RATIOS[t]] for t in _SR_TABLES}
+    existing += groups["content_sitewide"] + groups["content_search"]
     # float64 weights, as in the original (a DECIMAL literal would make DuckDB tie scores that
     # are equal only in exact arithmetic)
     ws = {"content_sitewide": " + ".join(f"CAST(COALESCE(content_sitewide_{c}, 0) AS DOUBLE) * CAST({P.SESSION_COL_WEIGHTS[c]} AS DOUBLE)" for c in _SITE),
@@ -278,6 +277,6 @@ def q_session_ranks(spark, sf_dir):
                            P.SEARCH_WEIGHTS, probes_from=base)
     from recsignals.session import stage
     d = stage(d, "session-ranks-in")
-    out = S.session_ranks(d, "session_id", ["content_sitewide", "content_search"], "content_sitewide", _SEARCH,
-                          _SITE, P.SESSION_COL_WEIGHTS, P.SESSION_TABLE_WEIGHTS, [])
+    scores = {t: {f"{t}_{c}": P.SESSION_COL_WEIGHTS[c] for c in cols} for t, cols in _SR_TABLES.items()}
+    out = S.session_ranks(d, "session_id", "row_id", S.rank_votes(_SR_TABLES, _SR_RATIOS), scores, P.SESSION_TABLE_WEIGHTS)
     return out.select("row_id", *[F.col(c).cast("double").alias(c) for c in _SR_OUT])

@@ -59,8 +59,9 @@ SELECT l_partkey AS item_id, l_shipdate AS date, count(*) AS total_click, count(
   CAST(sum(l_quantity) AS BIGINT) AS total_search_impression, CAST(sum(l_linenumber) AS BIGINT) AS total_search_click
   FROM lineitem GROUP BY l_partkey, l_shipdate""", ()),
     "o_item_meta": ("""
-SELECT p_partkey AS item_id, p_type AS level1, p_brand AS level2, concat(p_type, '/', p_brand) AS leaf, replace(p_name, ' ', ',') AS tags,
-  CAST(DATE '1994-01-01' + p_size AS TIMESTAMP) AS created_ts FROM part WHERE p_partkey % 50 <> 0""", ()),
+SELECT p_partkey AS item_id, CASE WHEN p_size > 1 THEN p_type END AS level1, CASE WHEN p_size > 1 THEN p_brand END AS level2,
+  CASE WHEN p_size > 1 THEN concat(p_type, '/', p_brand) END AS leaf, replace(p_name, ' ', ',') AS tags,
+  CAST(DATE '1994-01-01' + p_size AS TIMESTAMP) AS created_ts FROM part""", ()),
     "o_price_log": ("""
 SELECT l_partkey AS item_id, l_shipdate AS update_date, max(p_retailprice) AS original_price, max(l_extendedprice / l_quantity) AS selling_price,
   max(l_extendedprice * (1 - l_discount) / l_quantity) AS discounted_price, CAST(sum(l_quantity) AS BIGINT) AS rate_count,

@@ -88,15 +88,10 @@ if __name__ == "__main__":
     from recsignals.session import get_spark
     from recsignals.plans.catalog import QUERIES
     args = sys.argv[1:]
-    hot = None
-    if args and args[0].startswith("--hot="):
-        hot = args.pop(0).split("=", 1)[1]
     sf = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(QUERIES)
     spark = get_spark("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
-    if hot:
-        spark.conf.set("recsignals.hot_key_rows", hot)
     res = compare(spark, sf, names)
     bad = [n for n, v in res.items() if v is False]
     print("FAILED:", bad if bad else "none", f"({len(res)} checked)")

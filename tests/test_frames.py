@@ -22,10 +22,10 @@ def log(spark):
     return spark.createDataFrame(rows, "k long, t timestamp_ntz, v long")
 
 
-@pytest.mark.parametrize("thr", [None, 1])
-def test_range_agg_matches_bruteforce(spark, log, thr):
+@pytest.mark.parametrize("width", [None, 86400 * 10**6])
+def test_range_agg_matches_bruteforce(spark, log, width):
     out = range_agg(log, ["k"], "t", [("s", "sum", "v", "72h"), ("c", "count", "v", "72h")],
-                    {"72h": (-72 * 3600 * 10**6, -1)}, bucket_us=4 * 24 * 3600 * 10**6, hot_threshold=thr)
+                    {"72h": (-72 * 3600 * 10**6, -1)}, bucket_us=width)
     got = {(r.k, r.t): (r.s, r.c) for r in out.collect()}
     data = log.collect()
     for r in data:
@@ -36,11 +36,11 @@ def test_range_agg_matches_bruteforce(spark, log, thr):
         assert got[(r.k, r.t)] == ((sum(inside) if inside else None), len(inside))
 
 
-@pytest.mark.parametrize("thr", [None, 1])
+@pytest.mark.parametrize("width", [None, 86400 * 10**6])
 @pytest.mark.parametrize("incl", [True, False])
-def test_running_agg_matches_bruteforce(spark, log, thr, incl):
+def test_running_agg_matches_bruteforce(spark, log, width, incl):
     out = running_agg(log, ["k"], "t", [("s", "sum", "v"), ("m", "max", "v"), ("sd", "std", "v")],
-                      include_current=incl, bucket_us=3 * 24 * 3600 * 10**6, hot_threshold=thr)
+                      include_current=incl, bucket_us=width)
     got = {(r.k, r.t): (r.s, r.m, r.sd) for r in out.collect() if r.k is not None}
     data = [r for r in log.collect() if r.k is not None]
     for r in data:
@@ -57,19 +57,17 @@ def test_running_agg_matches_bruteforce(spark, log, thr, incl):
 
 
 def test_row_index_hot_equals_plain(spark, log):
-    a = {(r.k, r.t): r.i for r in row_index(log, ["k"], "t", alias="i", bucket_us=86400 * 10**6,
-                                             hot_threshold=1).collect()}
+    a = {(r.k, r.t): r.i for r in row_index(log, ["k"], "t", alias="i", bucket_us=86400 * 10**6).collect()}
     b = {(r.k, r.t): r.i for r in row_index(log, ["k"], "t", alias="i").collect()}
     assert a == b and max(a.values()) == 138
 
 
 @pytest.mark.parametrize("strict", [True, False])
-@pytest.mark.parametrize("thr", [None, 1])
-def test_asof_strict_and_inclusive(spark, log, strict, thr):
+@pytest.mark.parametrize("width", [None, 86400 * 10**6])
+def test_asof_strict_and_inclusive(spark, log, strict, width):
     left = spark.createDataFrame([(1, ts(7)), (1, ts(8)), (1, ts(900)), (2, ts(5)), (2, ts(499)), (None, ts(9)),
                                   (3, ts(1))], "k long, t timestamp_ntz")
-    out = asof_join(left, log, ["k"], "t", strict=strict, right_cols=["v"], bucket_us=86400 * 10**6,
-                    hot_threshold=thr)
+    out = asof_join(left, log, ["k"], "t", strict=strict, right_cols=["v"], bucket_us=width)
     got = sorted((r.k if r.k is not None else -1, r.t, r.v) for r in out.collect())
     data = log.collect()
 
@@ -97,3 +95,57 @@ def test_trailing_std_long_keys_use_row_window(spark):
             mu = sum(win) / len(win)
             ref = (sum((x - mu) ** 2 for x in win) / (len(win) - 1)) ** 0.5
             assert abs(got[t] - ref) < 1e-9
+
+
+def test_std_of_large_counters(spark):
+    rows = [(1, ts(h), 10**9 + h % 3) for h in range(40)] + [(None, ts(h), 10**9 + h % 3) for h in range(9)]
+    df = spark.createDataFrame(rows, "k long, t timestamp_ntz, v long").withColumn("x", F.col("v") + 0.25)
+    out = running_agg(df, ["k"], "t", [("sd", "std", "v"), ("sx", "std", "x")], bucket_us=5 * 3600 * 10**6)
+    for r in out.collect():
+        vals = [v for k, t, v in rows if k == r.k and t <= r.t]
+        mu = sum(v - 10**9 for v in vals) / len(vals)
+        want = (sum((v - 10**9 - mu) ** 2 for v in vals) / (len(vals) - 1)) ** 0.5 if len(vals) > 1 else None
+        assert (r.sd is None and r.sx is None) if want is None else abs(r.sd - want) < 1e-9 and abs(r.sx - want) < 1e-6
+
+
+def test_ranks_match_bruteforce(spark):
+    from recsignals.operators.groups import rank_many, rank_within
+    from recsignals.operators.session import auc_ranksum, session_rank
+
+    values = [None, -3.5, 0.0, 1e-7, 2.0, 2.0, 2.0001, 1e12, 5.0, 5.0, None, float("nan")]
+    rows = [(i, g, v) for g in ("a", None) for i, v in enumerate(values * 2, 100 if g else 0)]
+    df = spark.createDataFrame(rows, "id long, g string, v double")
+    key = lambda v: (v is None, v != v, v if v == v else 0)
+
+    def rank(v, g, sign):
+        own = [x for _, h, x in rows if h == g]
+        k = lambda x: (True, False, 0) if x is None else (False, x != x, sign * x if x == x else 0)
+        return 1 + sum(k(x) < k(v) for x in own)
+
+    got = rank_within(rank_many(df, "id", [("up", "g", "v", True), ("down", "g", "v", False)]), ["g"], "v", "last").collect()
+    for r in got:
+        assert r.last == rank(r.v, r.g, 1)
+        assert r.up == (None if r.v is None else rank(r.v, r.g, 1)) and r.down == (None if r.v is None else rank(r.v, r.g, -1))
+    scored = df.where("v is not null and not isnan(v)")
+    pos = {r.id: r.rank for r in session_rank(scored, "g", "id", "v").collect()}
+    for g in ("a", None):
+        own = sorted(((-v, i) for i, h, v in rows if h == g and v is not None and v == v))
+        assert [pos[i] for _, i in own] == list(range(1, len(own) + 1))
+    one = auc_ranksum(scored.withColumn("y", F.lit(1)), "v", "y").first()
+    assert one.auc is None
+    two = scored.withColumn("y", (F.col("id") % 3 == 0).cast("int"))
+    data = [(r.v, r.y) for r in two.collect()]
+    p, n = [v for v, y in data if y], [v for v, y in data if not y]
+    assert abs(auc_ranksum(two, "v", "y").first().auc - sum((a > b) + 0.5 * (a == b) for a in p for b in n) / len(p) / len(n)) < 1e-12
+
+
+def test_decay_keeps_interactions_of_one_time(spark):
+    from recsignals.operators.decay import session_decay_history
+
+    logs = spark.createDataFrame([(1, 7, ts(1), 4.0), (1, 7, ts(1), 9.0), (1, 7, ts(0), 1.0)], "u long, i long, t timestamp_ntz, c double")
+    train = spark.createDataFrame([(1, 7, ts(2))], "u long, i long, t timestamp_ntz")
+    for keys in (["u", "i"], ["u"]):
+        r = session_decay_history(train, logs, ["c"], keys, "u", "t", alias="x").first()
+        assert (r.c_3roll_step_sum_x, round(r.c_3roll_step_mean_x, 6), r.c_x) == (14.0, round(14 / 3, 6), 9.0)
+    with pytest.raises(ValueError):
+        session_decay_history(train, logs, ["c"], ["u"], "u", "t", decay_value=0.1)
