@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsignals.operators.groups import _ns_join, band, group_stats, rank_many, rank_within
+from recsignals.operators.groups import _ns_join, band, group_stats, rank_many
 
 
 def candidate_count(df: DataFrame, session: str, item: str) -> DataFrame:
@@ -19,24 +19,28 @@ def candidate_count(df: DataFrame, session: str, item: str) -> DataFrame:
     return group_stats(df, [session], [F.count(item).alias("session_candidate_count")])
 
 
-def session_stats(df: DataFrame, session: str, item: str, measures: dict[str, str], price: str) -> DataFrame:
+def session_stats(df: DataFrame, session: str, item: str, measures: dict[str, str], price: str, row_id: str) -> DataFrame:
     """Per candidate: session size, cheapest / most expensive flags, session
     avg/std/min/max of each measure, ascending SQL rank and % difference from
-    the session mean (C27; W19-W23).  ``measures``: short name -> column."""
+    the session mean (C27; W19-W23).  ``measures``: short name -> column.
+    ``row_id`` is unique. ``df`` is read twice: pass a staged table if it is
+    costly."""
     aggs = [F.count(item).alias("session_item_count")]
     for short, c in measures.items():
         aggs += [F.avg(c).alias(f"session_avg_{short}"), F.stddev_samp(c).alias(f"session_std_{short}"),
-                 F.min(c).alias(f"session_min_{short}"), F.max(c).alias(f"session_max_{short}")]
+                 F.min(c).alias(f"session_min_{short}"), F.max(c).alias(f"session_max_{short}"), F.count(c).alias(f"__n_{short}")]
     d = group_stats(df, [session], aggs)
     ps = [k for k, v in measures.items() if v == price][0]
     d = d.withColumns({
         "is_cheapest_in_session": F.when(F.col(price) == F.col(f"session_min_{ps}"), 1).otherwise(0),
         "is_most_expensive_in_session": F.when(F.col(price) == F.col(f"session_max_{ps}"), 1).otherwise(0)})
+    ranks = rank_many(df.select(row_id, session, *dict.fromkeys(measures.values())), row_id, [(f"__r_{short}", session, c, True) for short, c in measures.items()])
+    d = d.join(ranks.select(row_id, *[f"__r_{short}" for short in measures]), row_id, "left")
     for short, c in measures.items():
-        d = rank_within(d, [session], c, f"{short}_rank", ascending=True, nulls="last")
+        d = d.withColumn(f"{short}_rank", F.coalesce(f"__r_{short}", F.col(f"__n_{short}") + 1))  # nulls share the last rank
         d = d.withColumn(f"{short}_diff_percent",
                          100.0 * (F.col(c) - F.col(f"session_avg_{short}")) / F.nullif(F.col(f"session_avg_{short}"), F.lit(0)))
-    return d
+    return d.drop(*[f"__{k}_{short}" for k in "rn" for short in measures])
 
 
 def weighted_target(df: DataFrame, weights: dict[str, float], alias: str = "target") -> DataFrame:

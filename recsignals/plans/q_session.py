@@ -10,6 +10,7 @@ from recsignals.operators import session as S
 from recsignals.operators.asof import asof_join
 from recsignals.plans import params as P
 from recsignals.plans.registry import query
+from recsignals.session import stage
 from recsignals.plans.sqlfmt import rnd
 
 
@@ -52,7 +53,7 @@ def q_session_stats(spark, sf_dir):
     base = spark.table("o_base").select("row_id", "session_id", "item_id", "ts")
     j = asof_join(base, spark.table("o_price_log"), ["item_id"], "ts", right_ts="update_date",
                   right_cols=list(dict.fromkeys(_MEAS.values())))
-    d = S.session_stats(j, "session_id", "item_id", _MEAS, "selling_price")
+    d = S.session_stats(stage(j, "session-prices"), "session_id", "item_id", _MEAS, "selling_price", "row_id")
     # session std of prices in the thousands: compared at 3 decimals, where
     # the two engines' variance-algorithm noise cannot reach
     # (means at 5 decimals: means of few 2-4 decimal prices sit on 6-decimal ties)
