@@ -9,6 +9,8 @@ from recsignals.functions.expr import micros
 from recsignals.operators import session as S
 from recsignals.operators.asof import asof_join
 from recsignals.plans import params as P
+from recsignals.operators.profile import clean_birth_year
+from recsignals.plans.q_affinity import _CLEAN_SQL as CLEAN_SQL
 from recsignals.plans.registry import query
 from recsignals.session import stage
 from recsignals.plans.sqlfmt import rnd
@@ -62,17 +64,18 @@ def q_session_stats(spark, sf_dir):
                                 else F.col(c) for c in _STAT_COLS])
 
 
-@query("q_static_features", fixtures=("o_base", "o_item_meta"), oracle="""
-SELECT b.row_id, CAST(length(replace(m.level1, ' ', '_')) AS DOUBLE) AS search_term_length,
+@query("q_static_features", fixtures=("o_base", "o_item_meta", "o_user_meta"), oracle=CLEAN_SQL + """
+SELECT b.row_id, CAST(YEAR(b.ts) - u.birth_year AS DOUBLE) AS candidate_age, CAST(length(replace(m.level1, ' ', '_')) AS DOUBLE) AS search_term_length,
   CAST(length(split(replace(m.level1, ' ', '_'), '_')) AS DOUBLE) AS search_term_word_count,
   CAST(length(split(m.tags, ',')) AS DOUBLE) AS cv_tags_word_count,
   ROUND(EXTRACT(EPOCH FROM b.ts - m.created_ts) / 86400.0, 6) AS content_tenure_days
-FROM o_base b LEFT JOIN o_item_meta m ON b.item_id = m.item_id""")
+FROM o_base b LEFT JOIN o_item_meta m ON b.item_id = m.item_id LEFT JOIN um u ON b.user_id = u.user_id""")
 def q_static_features(spark, sf_dir):
-    """Search-term length / word count, tag count, content tenure days (C29; F2-F5)."""
-    d = spark.table("o_base").join(spark.table("o_item_meta"), "item_id", "left")
+    """User age at the candidate, search-term length / word count, tag count, content tenure days (C29; F2-F5)."""
+    users = clean_birth_year(spark.table("o_user_meta"), "birth_year").select("user_id", "birth_year")
+    d = spark.table("o_base").join(spark.table("o_item_meta"), "item_id", "left").join(users, "user_id", "left")
     term = F.regexp_replace("level1", " ", "_")
-    return d.select("row_id", F.length(term).cast("double").alias("search_term_length"),
+    return d.select("row_id", (F.year("ts") - F.col("birth_year")).cast("double").alias("candidate_age"), F.length(term).cast("double").alias("search_term_length"),
                     F.when(term.isNotNull(), F.size(F.split(term, "_"))).cast("double").alias("search_term_word_count"),
                     F.when(F.col("tags").isNotNull(), F.size(F.split("tags", ","))).cast("double")
                     .alias("cv_tags_word_count"),
