@@ -1,11 +1,13 @@
 """Quality rules: base counts and Jensen-Shannon divergence from language references, in DataFrame operations only.
 
-A document's character classes (letters, capitals, digits, white space,
+A document's character classes (letters and digits, capitals, white space,
 punctuation, symbols) and its common words (the eight most common words of each
 reference language, and all others) make two histograms. Each is compared with
 every language's reference by Jensen-Shannon divergence (base 2, 0 to 1), and
 the nearest language counts. Length guards keep chance out: below
-``min_words_chars`` or ``min_words_words`` words a histogram is not judged.
+``min_words_chars`` or ``min_words_words`` words a histogram is not judged, and
+the limit for characters is wider by ``short`` / words. Digits count as letters:
+numbers, dates and identifiers in good prose are no sign of junk.
 
 Scale: one pass, no shuffle, no Python. All array work inside a row is by
 hashing or sorting, so very long texts stay n log n.
@@ -19,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Shares of letters, capitals, digits, white space, punctuation and symbols in running prose.
-CHAR_CLASSES = [0.796, 0.014, 0.002, 0.164, 0.0235, 0.0005]
+# Shares of letters with digits, capitals, white space, punctuation and symbols in running prose.
+CHAR_CLASSES = [0.798, 0.014, 0.164, 0.0235, 0.0005]
 # Common words of each reference language in order of frequency, and the share of all words at each rank.
 COMMON_WORDS = {
     "en": ["the", "of", "and", "to", "a", "in", "is", "that"],
@@ -56,7 +58,6 @@ def measures(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         F.length("text").cast("long").alias("n_chars"),
         kept(r"#*$%&|<>").alias("n_symbols"),
         kept("A-Z").alias("n_capitals"),
-        kept("0-9").alias("n_digits"),
         kept(r"!-/:-@\[-`{-~").alias("n_marks"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.concat(F.lit(" "), F.array_join(F.filter("words", lambda w: (F.length(w) <= long_word) & F.lower(w).isin(known)), "  "), F.lit(" ")).alias("common"),
@@ -73,7 +74,7 @@ def measures(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     count = lambda w: ((F.octet_length("common") - F.octet_length(F.replace(F.col("common"), F.lit(f" {w} "), F.lit("")))) / (len(w.encode()) + 2))
     base = placed.select("*", covered.alias("n_repeat_words"), *[count(w).alias(f"w_{w}") for w in known])
     total = F.nullif(F.col("n_chars"), F.lit(0)).cast("double")
-    classes = [F.col("word_chars") - F.col("n_capitals") - F.col("n_digits") - F.col("n_marks"), F.col("n_capitals"), F.col("n_digits"), F.col("n_chars") - F.col("word_chars"), F.col("n_marks") - F.col("n_symbols"), F.col("n_symbols")]
+    classes = [F.col("word_chars") - F.col("n_capitals") - F.col("n_marks"), F.col("n_capitals"), F.col("n_chars") - F.col("word_chars"), F.col("n_marks") - F.col("n_symbols"), F.col("n_symbols")]
     words = F.nullif(F.col("n_words"), F.lit(0)).cast("double")
     by_language = []
     for own in COMMON_WORDS.values():
@@ -82,8 +83,9 @@ def measures(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     return base.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", _divergence(classes, total, CHAR_CLASSES).alias("char_divergence"), F.least(*by_language).alias("word_divergence"))
 
 
-def judge(measured: DataFrame, max_chars=0.03, max_words=0.15, min_words_chars=10, min_words_words=60) -> DataFrame:
+def judge(measured: DataFrame, max_chars=0.025, max_words=0.15, min_words_chars=10, min_words_words=60, short=0.3) -> DataFrame:
     """Adds base_failed and kept."""
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    odd = (F.col("n_words") >= min_words_chars) & (F.col("char_divergence") > max_chars) | (F.col("n_words") >= min_words_words) & (F.col("word_divergence") > max_words)
+    limit = max_chars + short / F.nullif(F.col("n_words"), F.lit(0))
+    odd = (F.col("n_words") >= min_words_chars) & (F.col("char_divergence") > limit) | (F.col("n_words") >= min_words_words) & (F.col("word_divergence") > max_words)
     return measured.withColumn("base_failed", base).withColumn("kept", ~base & ~F.coalesce(odd, F.lit(False)))

@@ -92,14 +92,14 @@ def test_quality(docs):
         base = n < 10 or 100 * rep > 20 * n
         odd = False
         if n:
-            up, dig, marks = (len(re.findall(x, t)) for x in ("[A-Z]", "[0-9]", r"[!-/:-@\[-`{-~]"))
-            c = [chars - up - dig - marks, up, dig, len(t) - chars, marks - sym, sym]
+            up, marks = (len(re.findall(x, t)) for x in ("[A-Z]", r"[!-/:-@\[-`{-~]"))
+            c = [chars - up - marks, up, len(t) - chars, marks - sym, sym]
             by = []
             low = Counter(x.lower() for x in w)
             for words in op07_quality.COMMON_WORDS.values():
                 k = [low[x] for x in words]
                 by.append(js([x / n for x in [*k, n - sum(k)]], [*op07_quality.RANK_SHARES, 1 - sum(op07_quality.RANK_SHARES)]))
-            odd = n >= 10 and js([x / len(t) for x in c], op07_quality.CHAR_CLASSES) > 0.03 or n >= 60 and min(by) > 0.15
+            odd = n >= 10 and js([x / len(t) for x in c], op07_quality.CHAR_CLASSES) > 0.025 + 0.3 / n or n >= 60 and min(by) > 0.15
         want.append((r.doc_id, n, chars, sym, len(lines) - len(set(lines)), rep, base, not base and not odd))
     got = rows(op07_quality.judge(op07_quality.measures(docs)), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     assert got == sorted(want, key=repr)
@@ -116,3 +116,12 @@ def test_licences(spark):
     got = {r.doc_id: (r.licence, r.notices, r.digest is None) for r in op08_licences.scan(df).collect()}
     assert got == {1: ("ISC", [], False), 2: (None, ["CC-BY-NC-4.0", "MIT"], False), 3: (None, [], True), 4: (None, [], True), 5: (None, [], False), 6: (None, [], True), None: ("MIT", ["MIT"], False)}
     assert op08_licences.scan(df).count() == len(texts) and op08_licences.scan(df.limit(0)).count() == 0
+
+
+def test_quality_labels(spark):
+    """Clean labelled texts stay, junk goes."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    got = op07_quality.judge(op07_quality.measures(spark.read.parquet(f"{sf}/documents.parquet"))).join(labels, "doc_id").toPandas()
+    good = got[(got["quality"] == 1) & ~got["base_failed"]]
+    assert good["kept"].mean() > 0.995 and got[got["quality"] == 0]["kept"].mean() < 0.05
