@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsignals.llm import op01_packing, op02_url_filter, op03_html, op04_suffix_dedup, op05_decontaminate, op06_toxicity, op07_quality, op08_licences, op09_jaccard_join, op10_repair
+from recsignals.llm import op01_packing, op02_url_filter, op03_html, op04_suffix_dedup, op05_decontaminate, op06_toxicity, op07_quality, op08_licences, op09_jaccard_join, op10_repair, oracles
 from recsignals.llm.common import table
 from recsignals.llm.tokens import default_vocabulary
 
@@ -88,3 +88,11 @@ def op6_toxicity(spark, sf_dir):
 def op3_html_extraction(spark, sf_dir):
     """The main text of every page."""
     return op03_html.extract(table(spark, sf_dir, "pages"))
+
+
+ORACLES |= {
+    "op2_url_filter": oracles.url_filter(URL_RULES, "allow"),
+    "op5_decontaminate": oracles.DECONTAMINATE,
+    "op7_quality_rules": oracles.quality(),
+    "op9_jaccard_join": oracles.JACCARD,
+}
