@@ -45,7 +45,7 @@ WORD_BYTES = ~word_table((0x20, 0x20), (0x09, 0x0D))
 #: Counters for frequent shingles (fixed), as 2**bits in slices.
 COUNTER_BITS, SLICES = 20, 64
 #: Prefix entries per task, nodes of one tile per task, members verified beside one pivot.
-BUCKET_KEYS, TILE_ROWS, PIVOT_ROWS = 400_000, 20_000, 2_000
+BUCKET_KEYS, TILE_ROWS, PIVOT_ROWS = 400_000, 20_000, 200
 
 
 def shingle_sets(buf, off, words: int) -> list[np.ndarray]:
