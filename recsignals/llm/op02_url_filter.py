@@ -19,7 +19,9 @@ Repeated rows each get a row. Extra columns are kept out by name.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache, reduce
@@ -131,7 +133,8 @@ def apply_rules(urls: DataFrame, rules, id_col="page_id", url_col="url", default
         parts = [list(rules)]
     host, path = host_and_path(urls[url_col])
     rows = urls.select(urls[id_col].alias(id_col), host.alias("host"), path.alias("path"))
-    folder, found = tempfile.mkdtemp(prefix="digests-"), []
+    folder, found = tempfile.mkdtemp(prefix="digests-"), []  # the driver serves the files from here until it ends
+    atexit.register(shutil.rmtree, folder, True)
     for part in parts:
         name = f"digests-{uuid.uuid4().hex}"
         write_digests(part, os.path.join(folder, name))
