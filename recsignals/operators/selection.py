@@ -2,29 +2,30 @@
 correlation exceeds a threshold, keeping the one more correlated with the
 target.
 
-The Pearson matrix is computed by MLlib over the whole table (distributed
-sums); only the k x k matrix of k features reaches the driver, where the
-greedy choice runs."""
+All Pearson correlations come from one aggregation over the whole table; each
+uses the rows where both of its columns have a value. Only the k (k + 1) / 2
+numbers of k features reach the driver, where the greedy choice runs."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def prune_correlated(df: DataFrame, features: list[str], target: str, threshold: float = 0.98) -> DataFrame:
     """One row per feature: ``feature``, ``target_corr``, ``kept`` (1/0) and
-    ``dropped_for`` (the feature it was too correlated with)."""
-    cols = features + [target]
-    vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(vec, "__v", "pearson").head()[0].toArray()  # (k+1) x (k+1)
+    ``dropped_for`` (the feature it was too correlated with). A correlation
+    that is not defined (a constant column) counts as 0."""
+    cols = [*features, target]
     k = len(features)
-    tcorr = [abs(float(m[i][k])) for i in range(k)]
-    pairs = sorted(((abs(float(m[i][j])), i, j) for i in range(k) for j in range(i + 1, k)
-                    if abs(float(m[i][j])) > threshold), reverse=True)
+    want = [(i, j) for i in range(k) for j in range(i + 1, k + 1)]
+    x = {c: F.col(c).cast("double") for c in cols}
+    both = lambda a, b: x[a].isNotNull() & x[b].isNotNull()
+    aggs = [F.corr(F.when(both(cols[i], cols[j]), x[cols[i]]), F.when(both(cols[i], cols[j]), x[cols[j]])).alias(f"{i}_{j}") for i, j in want]
+    got = df.agg(*aggs).first()
+    size = {(i, j): abs(v) if v is not None and v == v else 0.0 for (i, j), v in zip(want, got)}
+    tcorr = [size[i, k] for i in range(k)]
+    pairs = sorted(((size[i, j], i, j) for i, j in want if j < k and size[i, j] > threshold), reverse=True)
     kept, why = [True] * k, [None] * k
     for _, i, j in pairs:
         if kept[i] and kept[j]:

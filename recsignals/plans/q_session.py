@@ -173,17 +173,38 @@ def q_auc_ranksum(spark, sf_dir):
     return S.auc_ranksum(d, "score", "ordered")
 
 
-@query("q_corr_prune", fixtures=("o_base", "o_price_log"))
+_PRICE_FEATS = ["original_price", "selling_price", "discounted_price", "rate_count", "review_count", "review_media_count", "rate_avg"]
+
+
+def _corr_prune_sql(threshold: float) -> str:
+    """Pairs in falling order of correlation, taken one after the other by a recursive query."""
+    cells = [f"{{'a': '{a}', 'b': '{b}', 'r': abs(corr({a}, {b}))}}" for i, a in enumerate(_PRICE_FEATS) for b in _PRICE_FEATS[i + 1:]]
+    aims = [f"{{'f': '{a}', 'r': coalesce(abs(corr({a}, target)), 0)}}" for a in _PRICE_FEATS]
+    target = " + ".join(f"{c} * {w}" for c, w in P.TARGET_WEIGHTS_A.items())
+    return f"""
+, j AS (SELECT CAST({target} AS DOUBLE) AS target, {', '.join(f'p.{c}' for c in _PRICE_FEATS)}
+        FROM o_base b ASOF LEFT JOIN o_price_log p ON b.item_id = p.item_id AND b.ts > p.update_date)
+, aim AS (SELECT x.f, x.r FROM (SELECT unnest([{', '.join(aims)}]) AS x FROM j))
+, pairs AS (SELECT x.a AS a, x.b AS b, row_number() OVER (ORDER BY x.r DESC) AS n FROM (SELECT unnest([{', '.join(cells)}]) AS x FROM j) WHERE x.r > {threshold})
+, told AS (SELECT n, CASE WHEN ta.r < tb.r THEN a ELSE b END AS loser, CASE WHEN ta.r < tb.r THEN b ELSE a END AS winner
+           FROM pairs JOIN aim ta ON ta.f = a JOIN aim tb ON tb.f = b)
+, walk AS (SELECT * FROM (WITH RECURSIVE w(n, gone, cause) AS (
+      SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[])
+      UNION ALL SELECT t.n, CASE WHEN list_contains(gone, loser) OR list_contains(gone, winner) THEN gone ELSE list_append(gone, loser) END,
+        CASE WHEN list_contains(gone, loser) OR list_contains(gone, winner) THEN cause ELSE list_append(cause, winner) END
+      FROM w JOIN told t ON t.n = w.n + 1) SELECT * FROM w ORDER BY n DESC LIMIT 1))
+SELECT f AS feature, ROUND(r, 6) AS target_corr, CAST(NOT list_contains(gone, f) AS BIGINT) AS kept, cause[list_position(gone, f)] AS dropped_for FROM aim, walk"""
+
+
+@query("q_corr_prune", fixtures=("o_base", "o_price_log"), oracle=_corr_prune_sql(0.98))
 def q_corr_prune(spark, sf_dir):
     """Correlation pruning of candidate price features against the stack-A
-    target, threshold 0.98 (C32; rows-only check)."""
+    target, threshold 0.98; rows with a missing value count where they have both (C32)."""
     from recsignals.operators.selection import prune_correlated
 
-    feats = ["original_price", "selling_price", "discounted_price", "rate_count", "review_count",
-             "review_media_count", "rate_avg"]
     base = S.weighted_target(spark.table("o_base"), P.TARGET_WEIGHTS_A, "target").select("row_id", "item_id", "ts", "target")
-    j = asof_join(base, spark.table("o_price_log"), ["item_id"], "ts", right_ts="update_date", right_cols=feats)
-    return prune_correlated(j.na.drop(subset=feats), feats, "target", 0.98)
+    j = asof_join(base, spark.table("o_price_log"), ["item_id"], "ts", right_ts="update_date", right_cols=_PRICE_FEATS)
+    return prune_correlated(j, _PRICE_FEATS, "target", 0.98)
 
 
 _RANK_FEATS = ["original_price", "selling_price", "discounted_price", "rate_count", "review_count",
@@ -200,8 +221,6 @@ def _ranker_data(spark):
 def q_ranker_scores(spark, sf_dir):
     """Train on rows before the last date, score every candidate (C34, C35; rows-only)."""
     from recsignals.operators.ranker import score, train_session_ranker
-    from recsignals.session import stage
-
     data = stage(_ranker_data(spark), "ranker-data")
     train, _ = S.time_split(data, "ts")
     model = train_session_ranker(train, _RANK_FEATS, "target")
@@ -213,7 +232,8 @@ def q_importance_cut(spark, sf_dir):
     """Features covering 99 % of the trained model's importance (C33; rows-only)."""
     from recsignals.operators.ranker import importance_cut, train_session_ranker
 
-    model = train_session_ranker(_ranker_data(spark), _RANK_FEATS, "target")
+    train, _ = S.time_split(stage(_ranker_data(spark), "ranker-data"), "ts")
+    model = train_session_ranker(train, _RANK_FEATS, "target")
     return importance_cut(spark, model, _RANK_FEATS, 0.99)
 
 
