@@ -19,11 +19,15 @@ NULL_ID = -(2**63)
 BROADCAST_BYTES = 64 << 20
 
 
+#: Rows of one Arrow batch between Spark and Python where the session has Spark's default: texts are long rows.
+BATCH_ROWS = 1_000
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give executors this package, once per application, as ``--py-files`` would."""
+    """Prepare a session: texts go to Python in small batches, and executors get this package as ``--py-files`` would."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if spark.sparkContext.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from recsignals.llm.common import NULL_ID, buckets, id_back, keyed, small_side, stage, without
 from recsignals.llm.graph import components
-from recsignals.llm.textbuf import U64, PrefixHash, ascii_lower, blocks, gram_hashes, mix, segments, word_spans, word_table
+from recsignals.llm.textbuf import U64, PrefixHash, ascii_lower, blocks, give_back, gram_hashes, mix, segments, word_spans, word_table
 
 WORD_BYTES = ~word_table((0x20, 0x20), (0x09, 0x0D))
 #: Counters for frequent shingles (fixed), as 2**bits in slices.
@@ -201,6 +201,7 @@ def tiles(packed: DataFrame, percent: int, keep_all: bool) -> DataFrame:
         entries = pa.table([pa.array(x) for x in (key, node, size, place)] + [pa.nulls(len(key), pa.int64())] * 2, names=names)
         none = pa.nulls(len(pairs), pa.int64())
         stars = pa.table([none, pa.array(pairs[:, 1]), none, none, pa.array(pairs[:, 0]), pa.array(shared, pa.int64())], names=names)
+        give_back()
         return pa.concat_tables([entries, stars])
 
     return packed.groupBy("bucket").applyInArrow(run, "key long, node long, size long, place long, pivot long, shared long")
@@ -298,6 +299,7 @@ def cross_pairs(entries: DataFrame, percent: int, k: int) -> DataFrame:
         back = np.unique(np.concatenate(held))
         c, d = comp[found[:, 0]], comp[found[:, 1]]
         cols = [pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]]), pa.array(c, mask=~np.isin(c, back)), pa.array(d, mask=~np.isin(d, back))]
+        give_back()
         return pa.table(cols, names=["a", "b", "held_a", "held_b"])
 
     return entries.groupBy("part").applyInArrow(run, "a long, b long, held_a long, held_b long")

@@ -8,6 +8,7 @@ a block of its own and is never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -88,6 +89,15 @@ def text_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8, int(off[-1] - off[0]), int(off[0])), off - off[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with at most ``limit`` text bytes (or one row), as (rows, bytes, offsets)."""
     for batch in batches:
@@ -97,6 +107,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTE
             to = max(at + 1, int(np.searchsorted(off, off[at] + limit, side="right")) - 1)
             yield batch.slice(at, to - at), buf[off[at] : off[to]], off[at : to + 1] - off[at]
             at = to
+    give_back()
 
 
 def word_spans(buf: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
