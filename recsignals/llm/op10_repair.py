@@ -37,14 +37,17 @@ FORMAT = "part int, shard int, shard_tokens long, first_rule long, ids binary, n
 _SLOTS = 18
 
 
-def _pairs(symbols: np.ndarray, last: np.ndarray, min_count: int) -> np.ndarray:
-    """Sorted codes of the pairs that occur at least ``min_count`` times."""
+def _frequent_pairs(symbols: np.ndarray, last: np.ndarray, min_count: int):
+    """Codes of the pairs that occur at least ``min_count`` times, where they start, and which of the codes stands there."""
     code = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
     slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int32)
     slot[last[:-1]] = 0
     heavy = np.bincount(slot, minlength=1 << _SLOTS) >= min_count  # an upper bound, so no frequent pair is missed
-    found, n = np.unique(code[heavy[slot] & ~last[:-1]], return_counts=True)
-    return found[n >= min_count]
+    at = np.flatnonzero(heavy[slot] & ~last[:-1])
+    found, which, n = np.unique(code[at], return_inverse=True, return_counts=True)
+    often = n >= min_count
+    keep = often[which]
+    return found[often], at[keep], (np.cumsum(often) - 1)[which[keep]]
 
 
 def compress(symbols: np.ndarray, first: np.ndarray, first_rule: int, min_count: int, max_rounds: int):
@@ -57,22 +60,19 @@ def compress(symbols: np.ndarray, first: np.ndarray, first_rule: int, min_count:
     for _ in range(max_rounds):
         if len(symbols) < 2:
             break
-        codes = _pairs(symbols, last, min_count)
+        codes, at, rank = _frequent_pairs(symbols, last, min_count)
         if not len(codes):
             break
-        code = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        rank = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-        hit = (codes[rank] == code) & ~last[:-1]
-        at = np.flatnonzero(hit)
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)  # where a run of overlapping hits begins
-        at = at[(at - np.repeat(at[run], np.diff(np.append(run, len(at))))) % 2 == 0]
+        first_of = (at - np.repeat(at[run], np.diff(np.append(run, len(at))))) % 2 == 0
+        at, rank = at[first_of], rank[first_of]
         pair = np.stack([codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         known = np.concatenate(length)
         size = lambda x: np.where(x < first_rule, 1, known[np.where(x < first_rule, 0, x - first_rule)] if len(known) else 1)
         rules.append(pair)
         length.append((size(pair[:, 0]) + size(pair[:, 1])).astype(np.uint32))
         symbols = symbols.copy()
-        symbols[at] = first_rule + have + rank[at]
+        symbols[at] = first_rule + have + rank
         last[at] = last[at + 1]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
