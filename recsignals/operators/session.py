@@ -21,13 +21,13 @@ def candidate_count(df: DataFrame, session: str, item: str) -> DataFrame:
 
 def session_stats(df: DataFrame, session: str, item: str, measures: dict[str, str], price: str, row_id: str) -> DataFrame:
     """Per candidate: session size, cheapest / most expensive flags, session
-    avg/std/min/max of each measure, ascending SQL rank and % difference from
+    avg (exact, of values at twelve decimals)/std/min/max of each measure, ascending SQL rank and % difference from
     the session mean (C27; W19-W23).  ``measures``: short name -> column.
     ``row_id`` is unique. ``df`` is read twice: pass a staged table if it is
     costly."""
     aggs = [F.count(item).alias("session_item_count")]
     for short, c in measures.items():
-        aggs += [F.avg(c).alias(f"session_avg_{short}"), F.stddev_samp(c).alias(f"session_std_{short}"),
+        aggs += [F.avg(F.col(c).cast("decimal(28,12)")).cast("double").alias(f"session_avg_{short}"), F.stddev_samp(c).alias(f"session_std_{short}"),
                  F.min(c).alias(f"session_min_{short}"), F.max(c).alias(f"session_max_{short}"), F.count(c).alias(f"__n_{short}")]
     d = group_stats(df, [session], aggs)
     ps = [k for k, v in measures.items() if v == price][0]

@@ -37,12 +37,12 @@ def _stats_sql():
              f"CAST(CASE WHEN selling_price = MIN(selling_price) {w} THEN 1 ELSE 0 END AS BIGINT) AS is_cheapest_in_session",
              f"CAST(CASE WHEN selling_price = MAX(selling_price) {w} THEN 1 ELSE 0 END AS BIGINT) AS is_most_expensive_in_session"]
     for m, c in _MEAS.items():
-        parts += [f"ROUND(CAST(AVG({c}) {w} AS DOUBLE), 5) AS session_avg_{m}",
+        parts += [f"ROUND(CAST(AVG(CAST({c} AS DECIMAL(28,12))) {w} AS DOUBLE), 5) AS session_avg_{m}",
                   f"ROUND(CAST(STDDEV_SAMP({c}) {w} AS DOUBLE), 3) AS session_std_{m}",
                   f"ROUND(CAST(MIN({c}) {w} AS DOUBLE), 6) AS session_min_{m}",
                   f"ROUND(CAST(MAX({c}) {w} AS DOUBLE), 6) AS session_max_{m}",
                   f"CAST(RANK() OVER (PARTITION BY session_id ORDER BY {c} ASC NULLS LAST) AS BIGINT) AS {m}_rank",
-                  f"ROUND(100.0 * ({c} - AVG({c}) {w}) / NULLIF(AVG({c}) {w}, 0), 6) AS {m}_diff_percent"]
+                  f"ROUND(100.0 * ({c} - AVG(CAST({c} AS DECIMAL(28,12))) {w}) / NULLIF(AVG(CAST({c} AS DECIMAL(28,12))) {w}, 0), 6) AS {m}_diff_percent"]
     return ", ".join(parts)
 
 
