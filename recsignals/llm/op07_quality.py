@@ -6,8 +6,11 @@ reference language, and all others) make two histograms. Each is compared with
 every language's reference by Jensen-Shannon divergence (base 2, 0 to 1), and
 the nearest language counts. Length guards keep chance out: below
 ``min_words_chars`` or ``min_words_words`` words a histogram is not judged, and
-the limit for characters is wider by ``short`` / words. Digits count as letters:
-numbers, dates and identifiers in good prose are no sign of junk.
+the limits are wider by ``short`` / words and ``short_words`` / words. A text
+without any common word has the divergence ``NO_COMMON_WORD``; the limit for
+words is below it at every judged length, so word salad, keyword lists and texts
+in no reference language fail. Digits count as letters: numbers, dates and
+identifiers in good prose are no sign of junk.
 
 Scale: one pass, no shuffle, no Python. All array work inside a row is by
 hashing or sorting, so very long texts stay n log n.
@@ -18,6 +21,8 @@ extra columns are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +36,8 @@ COMMON_WORDS = {
     "es": ["de", "la", "que", "el", "en", "y", "los", "se"],
 }
 RANK_SHARES = [0.055, 0.029, 0.023, 0.017, 0.014, 0.0115, 0.0105, 0.009]
+# Word divergence of a text that holds none of a language's common words.
+NO_COMMON_WORD = 0.5 * (sum(RANK_SHARES) + math.log2(2 / (2 - sum(RANK_SHARES))) + (1 - sum(RANK_SHARES)) * math.log2(2 * (1 - sum(RANK_SHARES)) / (2 - sum(RANK_SHARES))))
 SPACE = " \t\n\u000b\f\r"
 
 
@@ -83,9 +90,9 @@ def measures(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     return base.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", _divergence(classes, total, CHAR_CLASSES).alias("char_divergence"), F.least(*by_language).alias("word_divergence"))
 
 
-def judge(measured: DataFrame, max_chars=0.025, max_words=0.15, min_words_chars=10, min_words_words=60, short=0.3) -> DataFrame:
+def judge(measured: DataFrame, max_chars=0.025, max_words=NO_COMMON_WORD / 2, min_words_chars=10, min_words_words=60, short=0.3, short_words=25 * NO_COMMON_WORD) -> DataFrame:
     """Adds base_failed and kept."""
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    limit = max_chars + short / F.nullif(F.col("n_words"), F.lit(0))
-    odd = (F.col("n_words") >= min_words_chars) & (F.col("char_divergence") > limit) | (F.col("n_words") >= min_words_words) & (F.col("word_divergence") > max_words)
+    words = F.nullif(F.col("n_words"), F.lit(0))
+    odd = (F.col("n_words") >= min_words_chars) & (F.col("char_divergence") > max_chars + short / words) | (F.col("n_words") >= min_words_words) & (F.col("word_divergence") > max_words + short_words / words)
     return measured.withColumn("base_failed", base).withColumn("kept", ~base & ~F.coalesce(odd, F.lit(False)))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -125,3 +126,20 @@ def test_quality_labels(spark):
     got = op07_quality.judge(op07_quality.measures(spark.read.parquet(f"{sf}/documents.parquet"))).join(labels, "doc_id").toPandas()
     good = got[(got["quality"] == 1) & ~got["base_failed"]]
     assert good["kept"].mean() > 0.995 and got[got["quality"] == 0]["kept"].mean() < 0.05
+
+
+def test_quality_common_words(spark):
+    """Texts without common words fail by the words alone; clean labelled texts are far from the limit."""
+    draw = random.Random(7)
+    salad = lambda n: ["".join(draw.choices("bcfgjkmpvwxz", k=1) + draw.choices("abefghiklmnoprstuvz", k=draw.randint(3, 6))) for _ in range(n)]
+    line = lambda w: ". ".join(" ".join([w[a].capitalize(), *w[a + 1 : a + 12]]) for a in range(0, len(w), 12)) + "."
+    prose = lambda n, own: [own[0] if i % 18 == 0 else own[1] if i % 35 == 1 else own[i // 11 % 8] if i % 11 == 5 else w for i, w in enumerate(salad(n))]
+    texts = [(n, line(salad(n))) for n in (40, 60, 90, 200, 1000)]
+    texts += [(10_000 * (1 + k) + n, line(prose(n, own))) for k, own in enumerate(op07_quality.COMMON_WORDS.values()) for n in (60, 200, 1000)]
+    got = {r.doc_id: r for r in op07_quality.judge(op07_quality.measures(spark.createDataFrame(texts, "doc_id long, text string"))).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if r.kept} == {40} | {i for i, _ in texts if i > 10_000}
+    assert all(abs(got[n].word_divergence - op07_quality.NO_COMMON_WORD) < 1e-12 for n in (60, 90, 200, 1000))
+    sf = "/root/testdata/sf0.01"
+    good = op07_quality.measures(spark.read.parquet(f"{sf}/documents.parquet")).join(spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1"), "doc_id").filter("n_words >= 60").toPandas()
+    assert len(good) > 100 and (good["word_divergence"] < 0.9 * op07_quality.NO_COMMON_WORD * (0.5 + 25 / good["n_words"])).all()
