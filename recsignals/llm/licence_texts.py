@@ -1,4 +1,10 @@
-"""Known licences: fixed values, as published. Short notices are the one-line statements that name a licence."""
+"""Known licences: fixed values, as published. Short notices are the one-line statements that name a licence.
+
+Long texts are files of the folder ``licences``: SPDX id without "only" or "or later" (the text is the same), after "_" another printing.
+"""
+
+import re
+from importlib import resources
 
 _WARRANTY_MIT = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 _WARRANTY_ISC = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
@@ -51,6 +57,23 @@ For more information, please refer to <https://unlicense.org>"""),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
 ]
 
+
+
+def printings(text: str) -> set[str]:
+    """A long text as it is passed on: with or without what follows its terms, wrapped or not, with http or https addresses."""
+    end = re.search(r"END OF TERMS AND CONDITIONS", text)
+    found = {text, text[: end.end()]} if end else {text}
+    found |= {re.sub(r"(?mi)^(?!\s*copyright \(c\))(.*\S)[ \t]*\n(?=[ \t]*\S)", r"\1 ", t) for t in found}
+    return found | {t.replace("https://", "http://") for t in found} | {re.sub("http://", "https://", t) for t in found}
+
+
+def full_texts() -> list[tuple[str, str]]:
+    files = sorted((f for f in resources.files(__package__).joinpath("licences").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    return [(f.name[:-4].split("_")[0], f.read_text("utf-8")) for f in files]
+
+
+LICENCES += [(name, t) for name, text in full_texts() for t in sorted(printings(text))]
+
 # Spellings that count as equal in licence texts, each with the one used here.
 SPELLINGS = [
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"), ("authorisation", "authorization"), ("authorised", "authorized"), ("calibre", "caliber"), ("cancelled", "canceled"),

@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 
 from recsignals.llm import op02_url_filter, op05_decontaminate, op07_quality, op08_licences
+from recsignals.llm.licence_texts import full_texts
 from recsignals.llm.queries import URL_RULES
 
 SF = "/root/testdata/sf0.001"
@@ -143,3 +144,15 @@ def test_quality_common_words(spark):
     sf = "/root/testdata/sf0.01"
     good = op07_quality.measures(spark.read.parquet(f"{sf}/documents.parquet")).join(spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1"), "doc_id").filter("n_words >= 60").toPandas()
     assert len(good) > 100 and (good["word_divergence"] < 0.9 * op07_quality.NO_COMMON_WORD * (0.5 + 25 / good["n_words"])).all()
+
+
+def test_full_licences(spark):
+    """Whole texts of the usual licences are known by their digest, as they are passed on; changed ones are not."""
+    full = full_texts()
+    assert {n for n, _ in full} >= {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0"}
+    unwrapped = lambda t: "\n".join(x if re.match(r"\s*copyright \(c\)", x, re.I) else " ".join(x.split()) for x in re.sub(r"(?mi)^(?!\s*copyright \(c\))(.*\S)[ \t]*\n(?=[ \t]*\S)", r"\1 ", t).split("\n"))
+    ways = [lambda t: t, lambda t: "Copyright 2020 Someone\n\n" + t.upper(), unwrapped, lambda t: t.replace("https://", "http://"), lambda t: re.split("(?<=END OF TERMS AND CONDITIONS)", t)[0]]
+    texts = [(100 * i + k, way(t), n) for i, (n, t) in enumerate(full) for k, way in enumerate(ways)]
+    texts += [(100 * i + 99, t + "\nBut not on Sundays.", None) for i, (_, t) in enumerate(full)]
+    got = {r.doc_id: r.licence for r in op08_licences.scan(spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")).collect()}
+    assert got == {i: n for i, _, n in texts}
