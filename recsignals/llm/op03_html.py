@@ -6,10 +6,13 @@ element) it stands in. The ratio of unlinked characters to tags, smoothed over
 the lines by a Gaussian, splits lines at a threshold (the mean less half a
 standard deviation) into a dense and a thin cluster. Regions with a dense line
 are content and keep every line, short ones too; link lists stay out. Where the
-page marks its article or main part, only marked regions compete, and a single
-one wins as it is. Elements that are never main text by name, role, class or id
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-comments) are skipped with all they hold.
+page marks its article or main part, only marked parts compete: one with a dense
+unlinked line is content with the short lines beside it, one without such a line
+only if no line in it is mostly link (a teaser is a linked headline). Inside a
+marked part a thin region of several lines, each mostly link, is a link list.
+If that leaves nothing, the marked parts stay whole. Elements that are never main
+text by name, role, class or id (menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles, comments) are skipped with all they hold.
 
 Character references are decoded, white space in a line becomes one space,
 lines are trimmed and joined by one newline in page order.
@@ -44,6 +47,7 @@ SKIPPED_WORDS = frozenset(
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 REGIONS = frozenset("article main section div td body".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+LISTS = frozenset("ul ol dl table".split())
 COMMENT_WORDS = frozenset("comment comments reply replies respond disqus".split())
 _word = re.compile(r"[a-z]+").findall
 SIGMA = 1.0
@@ -52,17 +56,24 @@ _KERNEL /= _KERNEL.sum()
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, link characters, region, marked) per line."""
+    """Collects (text, tags, link characters, region, marked part or 0) per line."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool]] = []
-        self.open: list[tuple[str, int, bool, int]] = []  # tag, skipped, marked, region; as inside the element
-        self.skipped, self.marked, self.region = 0, False, 0  # skipped: 1 by class or id, 2 for certain
+        self.lines: list[tuple[str, int, int, int, int]] = []
+        self.open: list[tuple[str, int, int, int]] = []  # tag, skipped, marked, region; as around the element
+        self.skipped, self.marked, self.region = 0, 0, 0  # skipped: 1 by class or id, 2 for certain
         self.regions, self.found, self.links = 0, False, 0
         self.data: list[str] = []
         self.tags = self.link_chars = 0
 
+    def count_tag(self) -> None:
+        """Tags of skipped blocks, and those between such a block and the last line, belong to no line."""
+        if not self.skipped:
+            self.tags += 1
+        elif not self.data:
+            self.tags = 0
+
     def end_line(self) -> None:
         if self.data:
             text = " ".join("".join(self.data).split())
@@ -73,7 +84,7 @@ class Lines(HTMLParser):
             self.link_chars = 0
 
     def handle_starttag(self, tag, attrs):
-        self.tags += 1
+        self.count_tag()
         if tag in BLOCKS:
             self.end_line()
         if tag in VOID:
@@ -94,19 +105,20 @@ class Lines(HTMLParser):
             self.found, self.skipped = True, 0
         self.open.append((tag, self.skipped, self.marked, self.region))
         self.skipped = max(self.skipped, skip)
-        if mark or tag in REGIONS and not self.marked:
+        if mark or tag in REGIONS or self.marked and tag in LISTS:
             self.regions += 1
             self.region = self.regions
-        self.marked |= mark
+        if mark and not self.marked:
+            self.marked = self.region
         self.links += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
-        self.tags += 1
+        self.count_tag()
         if tag in BLOCKS:
             self.end_line()
 
     def handle_endtag(self, tag):
-        self.tags += 1
+        self.count_tag()
         if tag in BLOCKS:
             self.end_line()
         for i in range(len(self.open) - 1, -1, -1):
@@ -138,12 +150,17 @@ def main_text(html: str) -> str:
     size, tags, links, region = (np.array([f(x) for x in lines], float) for f in (lambda x: len(x[0]), lambda x: x[1], lambda x: x[2], lambda x: x[3]))
     ratio = np.maximum(size - links, 0) / np.maximum(tags, 1)
     smooth = np.convolve(np.pad(ratio, 3, mode="edge"), _KERNEL, mode="valid")
-    dense = smooth >= smooth.mean() - 0.5 * smooth.std()
-    marked = np.array([x[4] for x in lines])
+    limit = smooth.mean() - 0.5 * smooth.std()
+    dense = smooth >= limit
+    part = np.array([x[4] for x in lines])
+    marked, plain = part > 0, 2 * links < np.maximum(size, 1)
     if marked.any():
-        own = np.unique(region[marked])
-        good = own if len(own) == 1 else np.unique(region[marked & dense]) if (marked & dense).any() else own
-        keep = marked & np.isin(region, good)
+        _, at = np.unique(region, return_inverse=True)
+        n = np.bincount(at)
+        listed = (n > 1) & (np.bincount(at, plain) == 0) & (np.bincount(at, smooth) < limit * n)
+        good = np.union1d(part[marked & dense & plain], np.setdiff1d(part[marked], part[marked & ~plain]))
+        keep = marked & np.isin(part, good) & ~listed[at]
+        keep = keep if keep.any() else marked
     else:
         keep = np.isin(region, np.unique(region[dense & (2 * links < size)])) & (2 * links < np.maximum(size, 1))
     return "\n".join(x[0] for x, k in zip(lines, keep) if k)

@@ -74,6 +74,33 @@ def test_pages(wrap):
     assert op03_html.main_text(PAGE % (wrap % BODY)) == WANT
 
 
+LONG = "<p>" + "A paragraph of main text that goes on for quite a while, with several clauses. " * 5 + "</p>"
+LINKS = "<ul>" + "".join(f"<li><a href='/{i}'>Other story {i}</a></li>" for i in range(12)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<main><h1>Head</h1><p>Short lead.</p><article>@@@@</article><p>End.</p></main>", ["Head", "Short lead.", "@", "@", "@", "@", "End."]),
+        ("<article><h2>One</h2>@@@@</article><article><h2>Two</h2><p>Brief.</p></article><article><h2>Three</h2>@@@</article>", ["One", "@", "@", "@", "@", "Two", "Brief.", "Three", "@", "@", "@"]),
+        ("<article><h2>One</h2>@@@@<p>Brief.</p>#</article>", ["One", "@", "@", "@", "@", "Brief."]),
+        ("<article><h2>One</h2>@@@@</article><article><h3><a href='/x'>A linked headline</a></h3><p>Snip.</p></article>" + "<article><h3><a href='/y'>Another headline</a></h3><p>Snip.</p></article>" * 3, ["One", "@", "@", "@", "@"]),
+        ("<article><p>Only.</p></article>", ["Only."]),
+        ("<article>#</article>", [f"Other story {i}" for i in range(12)]),
+    ],
+)
+def test_marked_parts(page, want):
+    """The ratios choose among marked parts, single ones too; short text beside dense text stays."""
+    text = " ".join(LONG[3:-4].split())
+    assert op03_html.main_text(PAGE % page.replace("@", LONG).replace("#", LINKS)).split("\n") == [text if x == "@" else x for x in want]
+
+
+def test_tags_of_skipped_blocks():
+    parser = op03_html.Lines()
+    parser.feed(PAGE % "<article><p>First.</p><nav><ul><li>x</ul></nav><p>Second.</p></article>")
+    assert [x[:2] for x in parser.lines] == [("First.", 3), ("Second.", 2)]
+
+
 def test_extraction(spark):
     def plain(html):
         a = html[html.index("<article>") + 9 : html.index("</article>")]
