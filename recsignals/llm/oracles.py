@@ -78,3 +78,49 @@ link AS (SELECT pair.a, pair.b FROM pair JOIN size x ON x.doc_id = pair.a JOIN s
 reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
 SELECT doc_id, coalesce(size.n, 0) AS n_shingles, least(doc_id, coalesce(m.low, doc_id)) AS component_id
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) m USING (doc_id)"""
+
+
+def phrases(least=100, top=2000) -> str:
+    texts = ", ".join(f"array_to_string(w[i : i + {k - 1}], ' ')" for k in range(1, 6))
+    return rf"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+gram AS (SELECT lang, k, [{texts}][k] AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) AS t(k) WHERE len(w) >= k)),
+f AS (SELECT lang, phrase, any_value(k) AS k, count(*) AS a FROM gram GROUP BY lang, phrase HAVING count(*) >= {least}),
+total AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+cand AS (SELECT lang, phrase, k, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+inner_part AS (SELECT lang, a, array_to_string(w[i : i + m - 1], ' ') AS phrase
+    FROM (SELECT lang, a, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM cand, range(2, 5) AS t(m) WHERE m < k)),
+kept AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM inner_part p WHERE p.lang = c.lang AND p.phrase = c.phrase AND 100 * p.a >= 100 * c.a)),
+cut AS (SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r, CAST(total.n AS HUGEINT) AS n
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) c JOIN total USING (lang)
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : j], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1 : c.k], ' ')),
+scored AS (SELECT lang, phrase, a, l, r, n, 1000 * CAST(a AS HUGEINT) * n // (CAST(l AS HUGEINT) * r) AS score, j FROM cut),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest) WHERE rank <= {top}"""
+
+
+def vector_codes(parts=8, entries=16, rounds=6) -> str:
+    """Every round is two steps: the nearest entry of each part, then each entry's mean, rounded down."""
+    steps = []
+    for r in range(1, rounds + 2):
+        steps.append(f"""
+near{r} AS MATERIALIZED (SELECT rid, part, any_value(x) AS x, min(struct_pack(d := list_sum([(x[i] - c[i]) * (x[i] - c[i]) FOR i IN range(1, len(x) + 1)]), e := e)) AS b
+    FROM p JOIN book{r - 1} USING (part) GROUP BY rid, part)""")
+        if r <= rounds:
+            steps.append(f"""
+sums{r} AS MATERIALIZED (SELECT part, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+    SELECT part, b.e AS e, i, sum(x[i]) AS s, count(*) AS n FROM (SELECT part, b, x, unnest(range(1, len(x) + 1)) AS i FROM near{r}) GROUP BY ALL) GROUP BY part, e),
+book{r} AS MATERIALIZED (SELECT o.part, o.e, coalesce(s.c, o.c) AS c FROM book{r - 1} o LEFT JOIN sums{r} s ON s.part = o.part AND s.e = o.e)""")
+    return f"""
+WITH q AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, [CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT rid, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS x FROM q, range({parts}) AS t(part)),
+seed AS (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM q QUALIFY e < {entries}),
+book0 AS MATERIALIZED (SELECT part, e, x AS c FROM p JOIN seed USING (rid)),{",".join(steps)},
+code AS (SELECT rid, string_agg(lower(lpad(to_hex(b.e), 2, '0')), '' ORDER BY part) AS code, sum(b.d) AS error FROM near{rounds + 1} GROUP BY rid),
+whole AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS h FROM book{rounds}),
+labelled AS (SELECT label, sum(error) AS total FROM q JOIN code USING (rid) GROUP BY label)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(total AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM q JOIN code USING (rid) JOIN labelled l ON l.label IS NOT DISTINCT FROM q.label, whole"""

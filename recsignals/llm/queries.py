@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsignals.llm import op01_packing, op02_url_filter, op03_html, op04_suffix_dedup, op05_decontaminate, op06_toxicity, op07_quality, op08_licences, op09_jaccard_join, op10_repair, oracles
+from recsignals.llm import op01_packing, op02_url_filter, op03_html, op04_suffix_dedup, op05_decontaminate, op06_toxicity, op07_quality, op08_licences, op09_jaccard_join, op10_repair, op11_vector_codes, op12_phrases, op13_bpe, oracles
 from recsignals.llm.common import table
 from recsignals.llm.tokens import default_vocabulary
 
@@ -90,7 +90,27 @@ def op3_html_extraction(spark, sf_dir):
     return op03_html.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_vector_compression(spark, sf_dir):
+    """Codes of every vector in eight parts, against codebooks of sixteen entries from six rounds."""
+    return op11_vector_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_phrase_mining(spark, sf_dir):
+    """The 2,000 strongest phrases of each language."""
+    return op12_phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_bpe_codec(spark, sf_dir):
+    """Ids of every document and the text decoded from them, as digests."""
+    return op13_bpe.round_trip(table(spark, sf_dir, "documents"), op13_bpe.default_vocabulary())
+
+
 ORACLES |= {
+    "op11_vector_compression": oracles.vector_codes(),
+    "op12_phrase_mining": oracles.phrases(),
     "op2_url_filter": oracles.url_filter(URL_RULES, "allow"),
     "op5_decontaminate": oracles.DECONTAMINATE,
     "op7_quality_rules": oracles.quality(),

@@ -21,7 +21,7 @@ CACHE_PIECES, CACHE_CHARS = 1_000_000, 48
 _cut = re.compile(r"[^\W\d_]+|[\W\d_]+").findall
 
 
-def _byte_alphabet() -> dict[int, str]:
+def byte_alphabet() -> dict[int, str]:
     """Byte-level vocabularies write printable Latin-1 bytes as themselves, all others from U+0100 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(shown))}
@@ -36,7 +36,7 @@ class _Pieces(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.alphabet = self.tokenizer.model, _byte_alphabet()
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
 
     def __missing__(self, piece: str) -> bytes:
         if piece.isalpha() and max(piece) < "\u0250" and piece.islower():  # one word in the model's own spelling
