@@ -40,3 +40,15 @@ DECAY_HALF_LIFE_STEPS = 3
 DECAY_WINDOWS = [3, 12]
 NEGATIVE_LIMIT = 1000
 BLEND_WEIGHTS = (0.5, 0.5)
+
+# Columns that are no features of the first stack, and features left out for their high correlation with others.
+DROP_COLUMNS = ["ordered", "clicked", "ts_hour", "date", "content_creation_date", "added_to_cart", "added_to_fav", "session_id",
+                "content_id_hashed", "user_id_hashed", "cv_tags", "search_term_normalized", "target"]
+CORRELATED_COLUMNS = ["user_birth_year", "session_avg_rate_count", "session_std_rate_count", "session_min_rate_count", "session_max_rate_count",
+                      "content_review_count_rank", "content_review_count_diff_percent", "content_review_wth_media_count_diff_percent",
+                      "user_l1_cat_clicks", "user_l1_cat_orders", "search_ctr_24h_user_top_terms_log", "search_ctr_72h_user_top_terms_log",
+                      "user_leaf_cat_conversion_rate", "search_ctr_7d_content_search_log", "selling_price", "discounted_price", "content_rate_count"]
+
+# Categorical features, and what stands for a missing one.
+CATEGORICAL = ["user_gender", "level1_category_name", "level2_category_name", "leaf_category_name"]
+MISSING_CATEGORY = "UNKNOWN"

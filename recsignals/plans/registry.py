@@ -11,6 +11,8 @@ from recsignals.sources.fixtures import fixture_cte, register_fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: name -> (fixtures, DuckDB text without their definitions), for statements that are put together from others.
+BODIES: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
 def query(name: str, fixtures: tuple[str, ...] = (), oracle: str | None = None):
@@ -28,6 +30,7 @@ def query(name: str, fixtures: tuple[str, ...] = (), oracle: str | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if oracle is not None:
+            BODIES[name] = (tuple(fixtures), oracle.strip())
             ORACLES[name] = (fixture_cte(fixtures) if fixtures else "") + oracle.strip()
         return run
 
