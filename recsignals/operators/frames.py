@@ -97,7 +97,7 @@ def range_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
 
 
 _NEEDS = {"sum": "sn", "count": "n", "avg": "sn", "mean": "sn", "max": "x", "min": "m",
-          "std": "vnq", "stddev": "vnq"}
+          "std": "vnq", "stddev": "vnq", "index": "n"}
 
 
 def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
@@ -106,7 +106,8 @@ def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
     ``include_current`` else ``ALL<`` (strictly earlier times).
 
     ``specs``: (alias, fn, column) with fn in sum/count/avg/min/max/std;
-    ``column`` None with fn count means ``count(*)``.  ``std`` is the sample
+    ``column`` None with fn count means ``count(*)``, with fn index the row's
+    1-based position in its key (peers in any order).  ``std`` is the sample
     standard deviation from :func:`squares`.
     """
     width = int(bucket_us or DEFAULT_BUCKET_US)
@@ -158,6 +159,8 @@ def running_agg(df: DataFrame, keys: list[str], ts: str, specs: list[tuple],
             e = F.when(N > 0, a["s"])
         elif fn == "count":
             e = N
+        elif fn == "index":
+            e = F.sum(names[c]["n"]).over(Window.partitionBy(*keys, _B).orderBy(_T).rowsBetween(Window.unboundedPreceding, 0))
         elif fn == "max":
             e = a["x"]
         elif fn == "min":
