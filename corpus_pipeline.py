@@ -7,7 +7,10 @@
 4. decontaminate: documents that hold a benchmark window of ten words go.
 5. packing: what is left, as pieces in sequences of at most 2048 ids.
 
-All but the last return the columns of their input. No stage can be written in
+All but the last return the columns of their input, whatever their names. A null
+text counts as empty, has no toxic neighbour, links with nothing, holds no benchmark
+words and is packed as its end id alone; a null id is an id like any other. Of rows
+that repeat id and text one stays. An empty table gives empty stages. No stage can be written in
 SQL as a whole (nearest neighbours, byte-wise repeats, tokenizer), so there is
 no ORACLE_SQL; tests/llm holds each stage against brute force.
 """
@@ -35,20 +38,20 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = op04_suffix_dedup.dedup(docs, extra=others)
-    names = ["doc_id", "kept", *others]
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    inner = {c: f"__other{i}" for i, c in enumerate(c for c in docs.columns if c not in ("doc_id", "text"))}  # no clash with the operator's names
+    found = op04_suffix_dedup.dedup(docs.select("doc_id", "text", *[docs[c].alias(n) for c, n in inner.items()]), extra=tuple(inner.values()))
 
     def decode(batches):
         for batch in batches:
             text = pa.array([x.as_py().decode("utf-8", "ignore") for x in batch.column("kept")], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, *[batch.column(c) for c in others]], names=["doc_id", "text", *others])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, *[batch.column(n) for n in inner.values()]], names=["doc_id", "text", *inner.values()])
 
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    out = found.select(names).mapInArrow(decode, ", ".join(f"`{c}` {kinds[c] if c != 'doc_id' else 'bigint'}" for c in ["doc_id", "text", *others]))
-    if "n_chars" in others:
+    schema = ", ".join(["doc_id bigint", "text string", *[f"{n} {kinds[c]}" for c, n in inner.items()]])
+    out = found.select("doc_id", "kept", *inner.values()).mapInArrow(decode, schema).withColumnsRenamed({n: c for c, n in inner.items()})
+    if "n_chars" in inner:
         out = out.withColumn("n_chars", F.length("text").cast(kinds["n_chars"]))
-    return out.select([F.col(c).cast(kinds[c]).alias(c) for c in docs.columns])
+    return out.select([F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
