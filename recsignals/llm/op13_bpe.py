@@ -5,7 +5,7 @@ marks, each with a space before it, white space, contractions). One pass counts
 the pre-tokens of all texts; the ``lexicon_words`` most frequent ones and their
 ids become a minimal acyclic transducer with shared suffixes (``lexicon.py``),
 shipped by Spark as one file that every worker memory-maps. The second pass walks
-all pre-tokens of a block through it at once; a pre-token that the lexicon lacks
+the distinct pre-tokens of a block through it at once; one that the lexicon lacks
 is merged exactly, lowest rank first, leftmost first, as the vocabulary demands.
 So the lexicon's size changes cost only, never ids.
 
@@ -47,7 +47,9 @@ from recsignals.llm.tokens import byte_alphabet
 #: Words of the lexicon, and the longest one in bytes (longer pre-tokens are always merged).
 LEXICON_WORDS, LONGEST_WORD = 60_000, 48
 #: Distinct pre-tokens that a counting task holds, and merged pre-tokens that a worker remembers.
-HELD_WORDS, CACHED_WORDS = 300_000, 200_000
+HELD_WORDS, CACHED_WORDS = 300_000, 500_000
+#: Text bytes whose distinct pre-tokens are looked up at a time.
+BLOCK_BYTES = 4 << 20
 #: From here on, Unicode versions differ in which characters are letters: texts with such characters are cut by the library.
 COMMON_CHARS = 0x530
 #: A merge's rank and the id that it makes share a number; none is larger than all.
@@ -167,6 +169,12 @@ def _lexicon(name: str) -> Lexicon:
     return Lexicon(SparkFiles.get(name))
 
 
+@lru_cache(maxsize=2)
+def _merged(path: str) -> dict[bytes, bytes]:
+    """Pre-tokens that this worker has merged, and their ids."""
+    return {}
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -214,24 +222,28 @@ def encode(docs: DataFrame, path: str, lexicon: str | None = None, id_col="doc_i
     lexicon = lexicon or fit(docs, path, text_col)
 
     def run(batches):
-        vocab, known, merged = vocabulary(path), _lexicon(lexicon), {}
-        for batch, buf, off in blocks(batches, "text"):
+        vocab, known, merged = vocabulary(path), _lexicon(lexicon), _merged(path)
+        for batch, _, _ in blocks(batches, "text", BLOCK_BYTES):
             cut = [vocab.words(x.as_py() or "") for x in batch.column("text")]
             per_row = np.array([len(w) for w in cut], np.int64)
-            words = [w for row in cut for w in row]
-            chars = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))))
-            place = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))[chars]  # of characters, in bytes
+            numbers: dict[str, int] = {}
+            at = np.array([numbers.setdefault(w, len(numbers)) for row in cut for w in row], np.int64)
+            distinct = [w.encode() for w in numbers]
+            end = np.cumsum(np.fromiter(map(len, distinct), np.int64, len(distinct)))
+            first = np.concatenate(([0], end))[:-1]
 
             def unseen(i: int) -> np.ndarray:
-                w = words[i]
+                w = distinct[i]
                 if w not in merged:
                     if len(merged) >= CACHED_WORDS:
                         merged.clear()
-                    merged[w] = np.array(vocab.ids(w.encode()), np.uint32)
-                return merged[w]
+                    merged[w] = np.array(vocab.ids(w), np.uint32).tobytes()
+                return np.frombuffer(merged[w], np.uint32)
 
-            ids, per_word = known.transduce(buf, place[:-1], place[1:], unseen)
-            edge = np.concatenate(([0], np.cumsum(per_word)))[np.concatenate(([0], np.cumsum(per_row)))]
+            ids, n = known.transduce(np.frombuffer(b"".join(distinct), np.uint8), first, end, unseen)
+            start = np.concatenate(([0], np.cumsum(n)))
+            edge = np.concatenate(([0], np.cumsum(n[at])))[np.concatenate(([0], np.cumsum(per_row)))]
+            ids = ids[segments(start[at], n[at])]
             lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=[id_col, "ids"])
 
