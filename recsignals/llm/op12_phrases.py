@@ -15,6 +15,11 @@ shard's count, which is the same each time, enters once. A phrase counted in vai
 has an infrequent subphrase and can't reach the threshold. Counts are therefore
 exact; phrases are told apart by their text, not by hash.
 
+Before the first step the texts are encoded once, as blocks of word numbers with
+their words, and hashed counters of all words and pairs are summed over all blocks
+in a table of fixed size. A word or pair whose counter stays below the threshold
+can't reach it and isn't counted at all; this changes cost only.
+
 The state (one row per counted phrase) is a distributed table; levels whose cycle
 is complete are cut down to their frequent phrases. The driver gets a bitmap of
 fixed size per step.
@@ -27,21 +32,25 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsignals.llm.common import buckets, ship_package, small_side, stage, text_volume
+from recsignals.llm.common import buckets, ship_package, small_side, stage
 from recsignals.llm.textbuf import U64, give_back, gram_hashes, mix
 from recsignals.session import drop_path, run_folder, write_stage
 
-#: Shards of the cycle; text bytes that a task works on at a time; least and most bits of the slot table (one byte each).
-SHARDS, BLOCK_BYTES, SLOT_BITS = 3, 4 << 20, (16, 25)
+#: Shards of the cycle; text bytes of a block.
+SHARDS, BLOCK_BYTES = 3, 8 << 20
+#: Least and most bits of the table of active phrases (a byte each) and of the table of hashed counters (a bit each, a byte inside a task).
+SLOT_BITS, COUNTER_BITS = (16, 25), (16, 27)
 LONGEST = 5
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n ")
 _STATE = "lang", "phrase", "k", "h"
@@ -62,33 +71,143 @@ def numbered(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """Word numbers of the texts in order, 0 between pieces, and the words by number."""
     words = _Words()
     split = b"\n".join(texts).translate(_LOWER).replace(b"\n", b" \n ").split(b" ")
-    at = np.array([words[w] for w in split if w] + [0], np.int64)
+    at = np.array([words[w] for w in split if w] + [0], np.int32)
     return at, list(words)
 
 
-def block_counts(texts: list[bytes], lang: str, tags: np.ndarray, step: int, shards: int):
-    """(phrases, k, slot hashes, counts) of one block: all words in the first cycle, longer phrases while they are active."""
-    at, words = numbered(texts)
-    text = pa.array([w.decode("utf-8") for w in words], pa.string())
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), U64, len(words)) + U64(xxhash.xxh64_intdigest(lang.encode(), 1) | 1)
-    slots = U64(64 - (len(tags) - 1).bit_length())
+def encoded(rows: DataFrame, shards: int) -> DataFrame:
+    """Blocks of numbered words: lang, ids (packed), words (joined by spaces), n (words), shard."""
+    names = ["lang", "ids", "words", "n", "shard"]
+
+    def run(batches):
+        held: dict[str, list[bytes]] = {}
+        size, turn = 0, TaskContext.get().partitionId()
+
+        def flush():
+            nonlocal turn
+            for lang, texts in held.items():
+                at, words = numbered(texts)
+                cols = [pa.array([x], t) for x, t in ((lang, pa.string()), (at.tobytes(), pa.binary()), (b" ".join(words), pa.binary()), (int((at > 0).sum()), pa.int64()), (turn % shards, pa.int32()))]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+                turn += 1
+            held.clear()
+            give_back()
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                raw = text.as_py().encode()
+                held.setdefault(lang, []).append(raw)
+                size += len(raw)
+                if size > BLOCK_BYTES:
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    return rows.mapInArrow(run, "lang string, ids binary, words binary, n long, shard int")
+
+
+class Block:
+    """A block of one language: its word numbers, words and the words' hashes."""
+
+    def __init__(self, lang: str, ids: bytes, words: bytes):
+        self.at, self.words = np.frombuffer(ids, np.int32), words.split(b" ")
+        seed = U64(xxhash.xxh64_intdigest(lang.encode(), 1) | 1)
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), U64, len(self.words)) + seed
+        self.place = np.flatnonzero(self.at)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places that begin a pair of words, and the pairs' hashes."""
+        both = self.place[:-1][np.diff(self.place) == 1]
+        return both, pair_hashes(self.hashes, self.at[both], self.at[both + 1])
+
+
+def pair_hashes(hashes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    h = hashes * U64(0x9E3779B97F4A7C15)
+    return mix(h[left] + hashes[right])
+
+
+def _blocks(batches):
+    for batch in batches:
+        for lang, ids, words in zip(*(batch.column(c) for c in ("lang", "ids", "words"))):
+            yield lang.as_py(), Block(lang.as_py(), ids.as_py(), words.as_py())
+
+
+def possible_slots(blocks: DataFrame, bits: int, least: int) -> bytes:
+    """Packed flags of the slots in which words and pairs together occur ``least`` times or more, over all texts.
+
+    A task counts in a table of fixed size; tables are added slice by slice."""
+    slices = min(64, 1 << (bits - 6))
+    width, kind = (1 << bits) // slices, np.uint8 if least < 256 else np.uint32
+
+    def count(batches):
+        total, seen = np.zeros(1 << bits, kind), False
+        for _, block in _blocks(batches):
+            seen = True
+            words = np.bincount(block.at[block.place], minlength=len(block.words))
+            for h, n in ((mix(block.hashes), words), (block.pairs()[1], None)):
+                slot, first = np.unique(h >> U64(64 - bits), return_inverse=True)
+                n = np.bincount(first, n) + total[slot]
+                total[slot] = np.minimum(n, least).astype(kind)
+        if seen:
+            for i, own in enumerate(total.reshape(slices, width)):
+                at = np.flatnonzero(own).astype(np.int32)
+                dense = 5 * len(at) > width
+                cols = [pa.array([i], pa.int32()), pa.array([None if dense else at.tobytes()], pa.binary()), pa.array([(own if dense else own[at]).tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["slice", "at", "counts"])
+        give_back()
+
+    def add(key: tuple[pa.Scalar, ...], tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width, np.int64)
+        for table in tables:
+            for at, counts in zip(table.column("at"), table.column("counts")):
+                own = np.frombuffer(counts.as_py(), kind)
+                if at.is_valid:
+                    total[np.frombuffer(at.as_py(), np.int32)] += own
+                else:
+                    total += own
+        cols = [pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, names=["slice", "flags"])
+
+    parts = blocks.mapInArrow(count, "slice int, at binary, counts binary")
+    out = np.zeros((slices, width // 8), np.uint8)
+    for r in parts.groupBy("slice").applyInArrow(add, "slice int, flags binary").collect():
+        out[r["slice"]] = np.frombuffer(r["flags"], np.uint8)
+    return out.tobytes()
+
+
+def _flag(flags: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    slot = h >> U64(64 - bits)
+    return (flags[(slot >> U64(3)).astype(np.int64)] >> (7 - (slot & U64(7))).astype(np.uint8)) & 1 == 1
+
+
+def block_counts(block: Block, tags: np.ndarray, flags: np.ndarray, step: int, shards: int):
+    """(phrases, k, slot hashes, counts) of one block: words in the first cycle, longer phrases while they are active."""
+    at, hashes = block.at, block.hashes
+    text = pa.array([w.decode("utf-8") for w in block.words], pa.string())
+    slots, bits = U64(64 - (len(tags) - 1).bit_length()), (8 * len(flags) - 1).bit_length()
+    own = mix(hashes)
     if step <= shards:
-        n = np.bincount(at, minlength=len(words))
-        n[0] = n[1:].sum()
-        names = pa.concat_arrays([pa.array([""]), text[1:]])
-        yield names, np.where(np.arange(len(words)) > 0, 1, 0), mix(hashes), n
+        n = np.bincount(at[block.place], minlength=len(hashes))
+        keep = _flag(flags, own, bits)
+        keep[0] = False
+        names = pa.concat_arrays([pa.array([""]), text.filter(pa.array(keep))])
+        k = np.ones(len(names), int)
+        k[0] = 0
+        yield names, k, np.concatenate([own[:1], own[keep]]), np.concatenate([[n.sum()], n[keep]])
     # Per place: the number of the k-gram that begins there, and the step in which it became frequent (0: not yet).
-    place, gram = np.flatnonzero(at > 0), at[at > 0]
-    tag = tags[mix(hashes) >> slots][gram]
+    place, gram = block.place, at[block.place].astype(np.int64)
+    tag = tags[own >> slots][gram]
     for k in range(2, LONGEST + 1):
         live = tag > 0
         place, gram, tag = place[live], gram[live], tag[live]
         if len(place) < 2:
             return
         both = np.flatnonzero(place[1:] == place[:-1] + 1)
+        if k == 2:
+            both = both[_flag(flags, pair_hashes(hashes, gram[both], gram[both + 1]), bits)]
         since = np.maximum(tag[both], tag[both + 1])
         place = place[both]
-        code, first, gram, n = np.unique(gram[both] * len(words) + at[place + k - 1], return_index=True, return_inverse=True, return_counts=True)
+        code, first, gram, n = np.unique(gram[both] * len(hashes) + at[place + k - 1], return_index=True, return_inverse=True, return_counts=True)
         if not len(code):
             return
         parts = [at[place[first] + j] for j in range(k)]
@@ -100,33 +219,19 @@ def block_counts(texts: list[bytes], lang: str, tags: np.ndarray, step: int, sha
         tag = tags[h >> slots][gram]
 
 
-def scan(shard: DataFrame, tags, step: int, shards: int) -> DataFrame:
+def scan(shard: DataFrame, tags, flags, step: int, shards: int) -> DataFrame:
     """Counts of the active phrases in one shard: lang, phrase, k, h, c."""
     names = ["lang", "phrase", "k", "h", "c"]
 
     def run(batches):
-        held: dict[str, list[bytes]] = {}
-        size = 0
-
-        def flush():
-            for lang, texts in held.items():
-                for phrase, k, h, n in block_counts(texts, lang, tags.value, step, shards):
-                    cols = [pa.array([lang] * len(phrase), pa.string()), phrase, pa.array(np.broadcast_to(k, len(phrase)).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(cols, names=names)
-            held.clear()
-            give_back()
-
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                raw = text.as_py().encode()
-                held.setdefault(lang, []).append(raw)
-                size += len(raw)
-                if size > BLOCK_BYTES:
-                    yield from flush()
-                    size = 0
-        yield from flush()
-
-    found = shard.select("lang", "text").mapInArrow(run, "lang string, phrase string, k int, h long, c long")
+        possible = np.frombuffer(flags.value, np.uint8)
+        for lang, block in _blocks(batches):
+            for phrase, k, h, n in block_counts(block, tags.value, possible, step, shards):
+                cols = [pa.array([lang] * len(phrase), pa.string()), phrase, pa.array(k.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+        give_back()
+
+    found = shard.select("lang", "ids", "words").mapInArrow(run, "lang string, phrase string, k int, h long, c long")
     return found.groupBy(*_STATE).agg(F.sum("c").alias("c"))
 
 
@@ -153,18 +258,21 @@ def phrase_counts(docs: DataFrame, lang_col="lang", text_col="text", least=100,
     their language; k = 0 with an empty phrase counts all words of the language."""
     spark = docs.sparkSession
     ship_package(spark)
-    bits = min(max(math.ceil(math.log2(1 + text_volume(docs, text_col) / (6 * least) * 8)), SLOT_BITS[0]), SLOT_BITS[1])
     rows = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), docs[text_col].cast("string").alias("text")).filter("text <> ''")
     path = f"{run_folder(spark)}/op12-shards-{uuid.uuid4().hex}"
-    rows.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")).write.partitionBy("shard").parquet(path)
-    shard_of = spark.read.schema("lang string, text string, shard int").parquet(path)
+    encoded(rows, shards).write.partitionBy("shard").parquet(path)
+    shard_of = spark.read.schema("lang string, ids binary, words binary, n long, shard int").parquet(path)
+    words = shard_of.agg(F.sum("n")).first()[0] or 0
+    size = lambda slots, limit: min(max(math.ceil(math.log2(1 + slots)), limit[0]), limit[1])
+    bits = size(words / least, SLOT_BITS)
+    flags = spark.sparkContext.broadcast(possible_slots(shard_of, size(6 * words / least, COUNTER_BITS), least))
 
     tags = np.zeros(1 << bits, np.uint8)
     state_path, state, step, fresh_at = None, None, 0, {}
     while True:
         step += 1
         sent, bit = spark.sparkContext.broadcast(tags), 1 << ((step - 1) % shards)
-        counted = scan(shard_of.filter(F.col("shard") == (step - 1) % shards), sent, step, shards)
+        counted = scan(shard_of.filter(F.col("shard") == (step - 1) % shards), sent, flags, step, shards)
         counted = counted.select(*_STATE, F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("mask"), F.lit(0).alias("tag"), "c")
         if state is not None:
             counted = counted.unionByName(state.withColumn("c", F.lit(0).cast("long")))
@@ -193,6 +301,7 @@ def phrase_counts(docs: DataFrame, lang_col="lang", text_col="text", least=100,
         if step >= shards and max((s for k, s in fresh_at.items() if k < LONGEST), default=0) <= step - shards:
             break
         tags[fresh_slots(state.filter(F.col("k") < LONGEST), step, bits)] = step
+    flags.unpersist()
     drop_path(spark, path)
     return state.filter((F.col("n") >= least) | (F.col("k") == 0)).select("lang", "phrase", "k", "n")
 

@@ -53,6 +53,8 @@ def made(seed, docs):
 @pytest.mark.parametrize("least,top,shards", [(3, 2000, 3), (12, 7, 2), (30, 2000, 4), (2, 50, 1)])
 def test_against_counting(spark, monkeypatch, least, top, shards):
     monkeypatch.setattr(op, "SLOT_BITS", (6, 8) if shards == 4 else (16, 25))  # crowded slots change cost only
+    monkeypatch.setattr(op, "COUNTER_BITS", (8, 9) if least > 10 else (16, 27))
+    monkeypatch.setattr(op, "BLOCK_BYTES", 3000)
     rows = made(least, 200)
     docs = spark.createDataFrame([(a, b, "x", 5, 0) for a, b in rows], "lang string, text string, phrase string, k int, shard int").repartition(5)
     got = op.collocations(docs, least=least, top=top, shards=shards)
