@@ -42,7 +42,7 @@ class _Pieces(dict):
         if piece.isalpha() and max(piece) < "\u0250" and piece.islower():  # one word in the model's own spelling
             word = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
             ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-        elif "'" in piece or "<" in piece or not piece.isascii() and not unicodedata.is_normalized("NFC", piece):
+        elif "'" in piece or "<" in piece or "\u0130" in piece or not piece.isascii() and not unicodedata.is_normalized("NFC", piece):
             ids = self._library(piece)
         else:
             parts = _cut(piece)

@@ -1,5 +1,6 @@
 """Packing and the token store against the tokenizers library itself."""
 
+import random
 import zlib
 
 import numpy as np
@@ -37,6 +38,15 @@ def test_encoder_is_the_library(docs):
         assert enc(r.text or "") == np.asarray(t.encode(r.text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_encoder_on_random_strings():
+    """Marks, letters that lower-case to two characters, contractions, spaces and special tokens in any order."""
+    r, t, enc = random.Random(8), Tokenizer.from_file(default_vocabulary()), encoder(default_vocabulary())
+    parts = ["\u0130", "\u0130.", "i\u0307", "I", "\u03a3", "\u03c2", "\u0301", "e", "E", "\u00c9", "'s", "'", "12", "\u00bd", ".", "?!", " ", "\n", "\t", "\u00a0", "\ufb01", "\u4e2d", "\u1e9e", "\u00df", "<|endoftext|>", "<", "|>", "\x1c", "\u2126", "\u212a"]
+    for _ in range(30_000):
+        x = "".join(r.choice(parts) for _ in range(r.randint(1, 9)))
+        assert enc(x) == np.asarray(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x
+
+
 @pytest.mark.parametrize("shard_items", [10, 20_000])
 def test_packing(docs, shard_items):
     got = op01_packing.best_fit(op01_packing.pieces(docs, default_vocabulary()), 2048, shard_items).toPandas()
