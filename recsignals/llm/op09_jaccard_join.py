@@ -46,6 +46,8 @@ WORD_BYTES = ~word_table((0x20, 0x20), (0x09, 0x0D))
 COUNTER_BITS, SLICES = 20, 64
 #: Prefix entries per task, nodes of one tile per task, members verified beside one pivot.
 BUCKET_KEYS, TILE_ROWS, PIVOT_ROWS = 400_000, 20_000, 200
+#: Bytes of entries with their bitmaps per group of tiles.
+GROUP_BYTES = 12 << 20
 
 
 def shingle_sets(buf, off, words: int) -> list[np.ndarray]:
@@ -381,8 +383,11 @@ def join(docs: DataFrame, id_col="doc_id", text_col="text", words=5, percent=75)
         chunks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
         tiled = placed.join(per, "key").withColumn("minor", F.col("comp") != F.col("major")).withColumn("chunk", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), chunks).cast("int")))))
         tiled = stage(tiled.select("key", "chunk", "minor", "node", "size", "place", "comp"), "op9-open")
-        spread = buckets(tiled.count(), 5 * TILE_ROWS)
+        # Groups are bounded in bytes, and each is a task's only one: a bitmap has up to half a byte per shingle.
+        load = tiled.agg(F.sum(F.lit(64) + F.col("size") / 2)).first()[0] or 0
+        spread = buckets(load, GROUP_BYTES)
         more = tiled.join(about.select("node", "bits"), "node").withColumn("part", F.pmod(F.xxhash64("key", "chunk"), F.lit(spread)))
+        more = more.repartition(spread, "part")
         more = stage(cross_pairs(more, percent, k), "op9-cross")
         links = stage(links.unionByName(verify(more, texts, holders.select("node", "kid", "th"), words, percent)).distinct(), "op9-links")
         back = stage(more.select(F.explode(F.array("held_a", "held_b")).alias("comp")).filter("comp is not null").distinct(), "op9-held")
