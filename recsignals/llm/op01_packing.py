@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsignals.llm.common import NULL_ID, buckets, id_back, keyed, small_side, stage
-from recsignals.llm.tokens import encoder, texts
+from recsignals.llm.tokens import encoder, forget, texts
 
 #: Pieces or open bins that one task packs.
 SHARD_ITEMS = 20_000
@@ -92,6 +92,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col="doc_id", text_col="text", c
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["kid", "piece", "start", "length", "ids_crc32"]
             )
+        forget(vocabulary)
 
     return keyed(docs, id_col, text_col).select("kid", "text").mapInArrow(cut, "kid long, piece int, start long, length long, ids_crc32 long")
 

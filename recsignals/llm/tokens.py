@@ -15,6 +15,8 @@ from array import array
 from collections.abc import Iterator
 from itertools import islice
 
+from recsignals.llm.textbuf import give_back
+
 #: Pieces remembered per worker (the older half goes when full), and the longest that is.
 CACHE_PIECES, CACHE_CHARS = 1_000_000, 48
 #: Runs of word characters without digits, and of all else.
@@ -77,6 +79,13 @@ def encoder(path: str):
     return encode
 
 
+def forget(path: str, keep: int = 100_000) -> None:
+    """Drop a worker's remembered pieces if they are many: workers outlive their stage and share an executor's memory."""
+    if path in _loaded and len(_loaded[path]) > keep:
+        _loaded[path].clear()
+        give_back()
+
+
 def texts(column) -> Iterator[str]:
     """The strings of an Arrow column one at a time; null is empty."""
     for x in column:
