@@ -41,7 +41,7 @@ def _divergence(counts: list[str], total: str, shares: list[float]) -> str:
     return " + ".join(terms)
 
 
-def quality(max_chars=0.025, max_words=0.15, min_words_chars=10, min_words_words=60, short=0.3) -> str:
+def quality(max_chars=0.025, max_words=op07_quality.NO_COMMON_WORD / 2, min_words_chars=10, min_words_words=60, short=0.3, short_words=25 * op07_quality.NO_COMMON_WORD) -> str:
     known = sorted({w for words in op07_quality.COMMON_WORDS.values() for w in words})
     counts = ", ".join(f"len(list_filter(lw, lambda x: x = '{w}')) AS \"c_{w}\"" for w in known)
     left = lambda chars: f"strlen(regexp_replace(t, '[^{chars}]+', '', 'g'))"
@@ -63,7 +63,7 @@ base AS (SELECT doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list
 told AS (SELECT *, {counts}, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce((n_words >= {min_words_chars} AND {_divergence(classes, 'length(t)', op07_quality.CHAR_CLASSES)} > {max_chars} + {short} / n_words)
-    OR (n_words >= {min_words_words} AND least({', '.join(words)}) > {max_words}), FALSE) AS kept
+    OR (n_words >= {min_words_words} AND least({', '.join(words)}) > {max_words} + {short_words} / n_words), FALSE) AS kept
 FROM told"""
 
 

@@ -101,7 +101,7 @@ def test_quality(docs):
             for words in op07_quality.COMMON_WORDS.values():
                 k = [low[x] for x in words]
                 by.append(js([x / n for x in [*k, n - sum(k)]], [*op07_quality.RANK_SHARES, 1 - sum(op07_quality.RANK_SHARES)]))
-            odd = n >= 10 and js([x / len(t) for x in c], op07_quality.CHAR_CLASSES) > 0.025 + 0.3 / n or n >= 60 and min(by) > 0.15
+            odd = n >= 10 and js([x / len(t) for x in c], op07_quality.CHAR_CLASSES) > 0.025 + 0.3 / n or n >= 60 and min(by) > op07_quality.NO_COMMON_WORD * (0.5 + 25 / n)
         want.append((r.doc_id, n, chars, sym, len(lines) - len(set(lines)), rep, base, not base and not odd))
     got = rows(op07_quality.judge(op07_quality.measures(docs)), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     assert got == sorted(want, key=repr)
