@@ -40,7 +40,9 @@ from recsignals.llm.textbuf import U64, PrefixHash, ascii_lower, blocks, mix, wo
 WORD_BYTES = word_table((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 PREFIXES = (4, 5, 6, 7, 8)
 #: Products (text x example) in memory at once.
-CELLS = 1 << 21
+CELLS = 1 << 20
+#: Text bytes worked on at once (or one text): a word has up to six terms, each with several arrays.
+TEXT_BYTES = 1 << 20
 
 
 def term_stream(buf: np.ndarray, off: np.ndarray):
@@ -192,12 +194,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_sample: int, max_byt
     return one.select(F.col("lid").cast("string").alias("name"), "text", "y", (F.pmod(F.xxhash64("lid", F.lit(6)), F.lit(4)) != 0).alias("example"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic", max_sample=8_192, max_bytes=20_000, floor=0.02, block=32, long_lists=512, k=16, prior=1.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic", max_sample=4_096, max_bytes=20_000, floor=0.02, block=32, long_lists=512, k=16, prior=1.0) -> Model:
     """The model of a bounded sample; ``k`` and ``prior`` are those that the curve is fitted for."""
     sample = stage(labelled_sample(docs, labels, max_sample, max_bytes, id_col, text_col, label_col), "op6-sample")
 
     def count(batches):
-        for batch, buf, off in blocks(batches, "text"):
+        for batch, buf, off in blocks(batches, "text", TEXT_BYTES):
             row, h, _ = row_terms(buf, off)
             y = np.array(batch.column("y").to_pylist())[row]
             t, at = np.unique(h, return_inverse=True)
@@ -218,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
 
     def frequencies(batches):
         df, rows = np.zeros(len(blank.terms), np.int64), 0
-        for batch, buf, off in blocks(batches, "text"):
+        for batch, buf, off in blocks(batches, "text", TEXT_BYTES):
             rows += batch.num_rows
             df += np.bincount(blank.found(buf, off)[1], minlength=len(df))
         at = np.flatnonzero(df)
@@ -230,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     blank.weights = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * (floor + phi)
 
     def vectorise(batches):
-        for batch, buf, off in blocks(batches, "text"):
+        for batch, buf, off in blocks(batches, "text", TEXT_BYTES):
             row, term, w = blank.vectors(buf, off)
             at = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("name"), batch.column("y"), pa.ListArray.from_arrays(pa.array(at), pa.array(term.astype(np.int32))), pa.ListArray.from_arrays(pa.array(at), pa.array(w))], names=["name", "y", "terms", "weights"])
@@ -255,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches):
-        for batch, buf, off in blocks(batches, "text"):
+        for batch, buf, off in blocks(batches, "text", TEXT_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array(shared.value.shares(buf, off, k, prior)[0]), batch.column("y")], names=["share", "y"])
 
     held = sample.filter("NOT example").select("text", "y").mapInArrow(judge, "share double, y int").toArrow()
@@ -273,7 +275,7 @@ def score(docs: DataFrame, model: Model, id_col="doc_id", text_col="text", k=16,
 
     def run(batches):
         m = shared.value
-        for batch, buf, off in blocks(batches, "text"):
+        for batch, buf, off in blocks(batches, "text", TEXT_BYTES):
             share, found = m.shares(buf, off, k, prior)
             evidence = [[{"example": m.names[x], "cosine": c, "label": int(m.labels[x])} for c, x in zip(*(v.tolist() for v in found.get(r, ((np.zeros(0),) * 2))))] for r in range(batch.num_rows)]
             cells = {"score": pa.array(m.calibrated(share)), "evidence": pa.array(evidence, evidence_type)}
