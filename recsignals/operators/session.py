@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsignals.operators.groups import _ns_join, band, group_stats, rank_many
+from recsignals.operators.groups import _band_ranks, _ns_join, band, group_stats, rank_many
 
 
 def candidate_count(df: DataFrame, session: str, item: str) -> DataFrame:
@@ -96,14 +96,15 @@ def ranked_list(df: DataFrame, session: str, item: str, score: str, alias: str =
 
 def session_rank(df: DataFrame, session: str, item: str, score: str, alias: str = "rank") -> DataFrame:
     """Position of each candidate in its session by descending score, ties
-    by item (C36)."""
-    d = df.withColumn("__v", -F.col(score).cast("double")).withColumn("__band", band(F.col("__v")))
-    w = Window.partitionBy(session, "__band").orderBy(F.col("__v").asc_nulls_last(), item)
-    wb = Window.partitionBy(session).orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)
-    below = (d.groupBy(session, "__band").agg(F.count(F.lit(1)).alias("__c"))
-             .withColumn("__below", F.coalesce(F.sum("__c").over(wb), F.lit(0))).drop("__c"))
-    out = _ns_join(d.withColumn("__in", F.rank().over(w)), below, [session, "__band"])
-    return out.withColumn(alias, (F.col("__in") + F.col("__below")).cast("bigint")).drop("__v", "__band", "__in", "__below")
+    by the number ``item`` (C36). Scores are ordered inside bands of the score
+    and tied items inside bands of the item, so not even one score for a whole
+    session sorts it in one task."""
+    d = df.withColumn("__v", -F.col(score).cast("double"))
+    places = d.groupBy(session, "__v", item).agg(F.count(F.lit(1)).alias("__c"))
+    above = _band_ranks(places.groupBy(session, "__v").agg(F.sum("__c").alias("__c")), [session], "__v").withColumnRenamed("__r", "__above")
+    inside = _ns_join(_band_ranks(places, [session, "__v"], item), above, [session, "__v"])
+    out = _ns_join(d, inside, [session, "__v", item])
+    return out.withColumn(alias, F.col("__above") + F.col("__r") - 1).drop("__v", "__above", "__r")
 
 
 def auc_ranksum(df: DataFrame, score: str, label: str) -> DataFrame:
