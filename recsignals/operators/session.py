@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsignals.operators.groups import _band_ranks, _ns_join, band, group_stats, rank_many
+from recsignals.operators.groups import _ns_join, band, group_stats, rank_many
 
 
 def candidate_count(df: DataFrame, session: str, item: str) -> DataFrame:
@@ -99,12 +99,16 @@ def session_rank(df: DataFrame, session: str, item: str, score: str, alias: str
     by the number ``item`` (C36). Scores are ordered inside bands of the score
     and tied items inside bands of the item, so not even one score for a whole
     session sorts it in one task."""
-    d = df.withColumn("__v", -F.col(score).cast("double"))
-    places = d.groupBy(session, "__v", item).agg(F.count(F.lit(1)).alias("__c"))
-    above = _band_ranks(places.groupBy(session, "__v").agg(F.sum("__c").alias("__c")), [session], "__v").withColumnRenamed("__r", "__above")
-    inside = _ns_join(_band_ranks(places, [session, "__v"], item), above, [session, "__v"])
-    out = _ns_join(d, inside, [session, "__v", item])
-    return out.withColumn(alias, F.col("__above") + F.col("__r") - 1).drop("__v", "__above", "__r")
+    cell = [session, "__band", "__v", "__item"]
+    d = df.withColumn("__v", -F.col(score).cast("double")).withColumns({"__band": band(F.col("__v")), "__item": band(F.col(item))})
+    cells = d.groupBy(*cell).agg(F.count(F.lit(1)).alias("__c"))
+    first = lambda w: F.coalesce(F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bands = cells.groupBy(session, "__band").agg(F.sum("__c").alias("__c"))
+    bands = bands.select(session, "__band", first(Window.partitionBy(session).orderBy("__band")).alias("__below"))
+    before = first(Window.partitionBy(session, "__band").orderBy(F.col("__v").asc_nulls_last(), "__item"))
+    cells = _ns_join(cells.withColumn("__before", before), bands, [session, "__band"]).drop("__c")
+    out = _ns_join(d.withColumn("__in", F.rank().over(Window.partitionBy(*cell).orderBy(item))), cells, cell)
+    return out.withColumn(alias, (F.col("__in") + F.col("__before") + F.col("__below")).cast("bigint")).drop(*cell[1:], "__in", "__before", "__below")
 
 
 def auc_ranksum(df: DataFrame, score: str, label: str) -> DataFrame:
