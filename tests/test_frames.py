@@ -149,3 +149,51 @@ def test_decay_keeps_interactions_of_one_time(spark):
         assert (r.c_3roll_step_sum_x, round(r.c_3roll_step_mean_x, 6), r.c_x) == (14.0, round(14 / 3, 6), 9.0)
     with pytest.raises(ValueError):
         session_decay_history(train, logs, ["c"], ["u"], "u", "t", decay_value=0.1)
+
+
+def test_ranks_of_small_and_large_groups(spark):
+    """Ranks are the same by windows, by bands and mixed; cells go through one exchange, not one per rank."""
+    from recsignals.operators import groups as G
+    from recsignals.operators.session import session_stats
+
+    rows = [(i, ["a", "b", "c", None][min(i % 7, 3)], i % 2, [None, float("nan"), -0.0, 0.0, 1.5, -2.0][i % 6] if i % 5 else float(i % 11), float(i * 37 % 101)) for i in range(240)]
+    df = spark.createDataFrame(rows, "id long, g string, h int, v double, w double")
+    specs = [(f"{g}_{c}_{up}", g, c, up) for g in ("g", "h") for c in ("v", "w") for up in (True, False)]
+    key = lambda x, up: (x != x, 0 if x != x else x if up else -x)
+    want = {}
+    for i, g, h, v, w in rows:
+        val = {"v": v, "w": w}
+        for a, p, c, up in specs:
+            own = [{"v": r[3], "w": r[4]}[c] for r in rows if r[1 if p == "g" else 2] == (g if p == "g" else h)]
+            want[i, a] = None if val[c] is None else 1 + sum(x is not None and key(x, up) < key(val[c], up) for x in own)
+    for small, wanted in ((10**6, specs), (40, specs), (40, specs[:4]), (0, specs)):
+        for n in (G.BAND_ROWS, 20):
+            G.BAND_ROWS, kept = n, G.BAND_ROWS
+            got = G.rank_many(df, "id", wanted, small).collect()
+            G.BAND_ROWS = kept
+            assert len(got) == len(rows) and all(r[a] == want[r.id, a] for r in got for a, *_ in wanted)
+    one, two = ({r.id: r for r in session_stats(df, "g", "h", {"x": "w", "y": "v"}, "w", "id", small).collect()} for small in (10**6, 40))
+    for i, r in one.items():
+        for c, x in r.asDict().items():
+            assert x == two[i][c] or x != x or abs(x - two[i][c]) < 1e-9
+    plan = G.rank_many(df, "id", specs[:4], 10**6)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Generate" not in plan
+
+
+def test_asof_moves_times_not_features(spark):
+    """Wide features are exchanged once by (key, time) and once to the candidates, whatever the number of passes."""
+    from recsignals.operators.asof import asof_join
+    from recsignals.operators.asof_many import Source, asof_many
+
+    right = spark.createDataFrame([(1, ts(h), h * 10, -h) for h in (0, 1, 1, 400)] + [(1, ts(1), 99, 0), (None, ts(0), 5, 5), (2, None, 6, 6)], "k long, t timestamp_ntz, x long, y long")
+    left = spark.createDataFrame([(i, k, None if h is None else ts(h)) for i, (k, h) in enumerate([(1, 0), (1, 1), (1, 2), (1, 399), (1, 900), (1, 900), (2, 5), (None, 5), (1, None)])], "id long, k long, t timestamp_ntz")
+    for strict in (True, False):
+        want = {0: None if strict else (0, 0), 1: (0, 0) if strict else (99, 0), 2: (99, 0), 3: (99, 0), 4: (4000, -400), 5: (4000, -400), 6: None, 7: None, 8: None}
+        one = asof_join(left, right, ["k"], "t", strict=strict)
+        both = asof_many(left, ["k"], "t", [Source(right, ("k",), "t", ("x", "y"), strict), Source(right.select("k", "t", F.col("x").alias("z")), ("k",), "t", ("z",))])
+        for r in one.collect():
+            assert (None if r.x is None else (r.x, r.y)) == want[r.id]
+        for r in both.collect():
+            assert (None if r.x is None else (r.x, r.y)) == want[r.id] and r.z == {1: 0, 2: 99, 3: 99, 4: 4000, 5: 4000}.get(r.id)
+    plan = one._jdf.queryExecution().sparkPlan().toString()
+    assert not any("__v" in line for line in plan.splitlines() if "Window" in line)
