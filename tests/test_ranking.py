@@ -128,3 +128,24 @@ def test_downsampling_of_1001_negatives_by_hash(spark):
     ids = {(r.s, r.i) for r in once.collect()}
     assert len(ids) == 1002 and {(1, 5000), (2, 1)} <= ids
     assert ids == {(r.s, r.i) for r in downsample_negatives(df.repartition(7), "s", ["y"], 1000).collect()}
+
+
+def test_trees_are_fitted_on_bounded_partitions(spark):
+    from recsignals.operators.ranker import bounded_partitions
+
+    d = spark.range(1000).coalesce(1)
+    assert bounded_partitions(d, 100).rdd.getNumPartitions() == 10 and bounded_partitions(d, 100).count() == 1000
+    assert bounded_partitions(d, 1000).rdd.getNumPartitions() == 1
+
+
+def test_task_share_is_bounded_as_tables_grow(spark, tmp_path):
+    from recsignals import session as S
+
+    kept = {c: spark.conf.get(c, None) for c in ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")}
+    spark.range(200_000).selectExpr("id", "uuid() AS u").write.parquet(f"{tmp_path}/t")
+    S.bound_tasks(spark, [f"{tmp_path}/t"] * 20)
+    parts = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    assert 20 <= parts < 60
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(S.TASK_BYTES)
+    for c, v in kept.items():
+        spark.conf.unset(c) if v is None else spark.conf.set(c, v)
