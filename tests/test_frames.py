@@ -197,3 +197,49 @@ def test_asof_moves_times_not_features(spark):
             assert (None if r.x is None else (r.x, r.y)) == want[r.id] and r.z == {1: 0, 2: 99, 3: 99, 4: 4000, 5: 4000}.get(r.id)
     plan = one._jdf.queryExecution().sparkPlan().toString()
     assert not any("__v" in line for line in plan.splitlines() if "Window" in line)
+
+
+def test_asof_of_few_ties_or_few_probes_is_the_same(spark):
+    """Neither form sorts the features before their exchange; with few probes the left rows move once."""
+    right = spark.createDataFrame([(1, ts(h), h * 10, -h) for h in (0, 1, 1, 400)] + [(1, ts(1), 99, 0), (1, ts(1), None, 1), (None, ts(0), 5, 5), (2, None, 6, 6)], "k long, t timestamp_ntz, x long, y long")
+    left = spark.createDataFrame([(i, k, None if h is None else ts(h)) for i, (k, h) in enumerate([(1, 0), (1, 1), (1, 2), (1, 399), (1, 900), (1, 900), (2, 5), (None, 5), (1, None)])], "id long, k long, t timestamp_ntz")
+    for strict in (True, False):
+        want = sorted(map(tuple, asof_join(left, right, ["k"], "t", strict=strict).collect()))
+        for form in ({"few_ties": True}, {"few_probes": True}, {"few_ties": True, "few_probes": True, "times_from": right.select("k", "t")}):
+            assert sorted(map(tuple, asof_join(left, right, ["k"], "t", strict=strict, **form).collect())) == want
+    plan = asof_join(left, right, ["k"], "t", few_ties=True)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_rolling_tables_find_the_row_before_while_rows_are_narrow(spark, log):
+    """The latest earlier row comes from a pass below the rolling aggregates, so that these are never exchanged again."""
+    from recsignals.operators.history import rolling_table
+
+    out = rolling_table(log, "k", "t", ["24h", "72h"], ["v"], [], aggs=("sum", "std"), ratio_aggs=(), alias="a")
+    rows = {(r.k, r.t): r for r in log.collect()}
+    for r in out.collect():
+        own = sorted(t for k, t in rows if k == r.k and t < r.t)
+        assert r.a_v_lag1 == (rows[r.k, own[-1]].v if own else None)
+        assert r.a_rolling_sum_v_72h == sum(rows[r.k, t].v for t in own if t >= r.t - dt.timedelta(hours=72))
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert min(i for i, x in enumerate(plan) if "stddev_samp" in x and "Window" in x) < min(i for i, x in enumerate(plan) if "Union" in x)
+
+
+def test_decay_lambdas_hold_no_aggregates(spark):
+    from recsignals.operators.decay import session_decay_history
+
+    logs = spark.createDataFrame([(1, ts(h), float(h * h % 7)) for h in range(20)], "u long, t timestamp_ntz, c double")
+    train = spark.createDataFrame([(1, ts(h)) for h in (0, 5, 30)], "u long, t timestamp_ntz")
+    out = session_decay_history(train, logs, ["c"], ["u"], "u", "t", alias="x")
+    got = {r.t: r for r in out.collect()}
+    for h in (5, 30):
+        n = 20 if h == 30 else 5
+        steps = [(i, float(i * i % 7)) for i in range(n)]
+        for k in (3, 12):
+            w = [v * 0.5 ** ((n - i) / 3) for i, v in steps[-k:]]
+            mean = sum(w) / len(w)
+            assert abs(got[ts(h)][f"c_weighted_{k}roll_step_mean_x"] - mean) < 1e-9
+            assert abs(got[ts(h)][f"c_weighted_{k}roll_step_std_x"] - (sum((x - mean) ** 2 for x in w) / (len(w) - 1)) ** 0.5) < 1e-9
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # three carried sums, and per window the sum, the mean and the squares: none inside another
+    assert plan.count("aggregate(") <= 9
