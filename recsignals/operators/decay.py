@@ -167,30 +167,35 @@ def session_decay_history(train: DataFrame, interactions: DataFrame, cols: list[
            .withColumn("__g", g + F.col("__h")))
     wl = Window.partitionBy(*keys, "__g").orderBy("__j").rowsBetween(-(nmax - 1), 0)
     item = F.struct(F.col("__j").alias("j"), F.col("interaction_step").alias("s"), *[F.col(c).cast("double").alias(c) for c in cols])
-    lastn = (idx.select(*keys, ts, "__h", "__j", F.array_sort(F.collect_list(item).over(wl)).alias("__arr"))
-             .where(F.col("__h") == 0).groupBy(*keys, ts).agg(F.max_by("__arr", "__j").alias("__arr")))
-    att = asof_join(dec, lastn, keys, ts, strict=True, right_cols=["__arr"])
+    follows = F.lead(ts).over(Window.partitionBy(*keys, "__g").orderBy("__j"))
+    # Of peers the last in a block stays; peers in two blocks are ties of the as-of join, where the later array is the greater.
+    lastn = (idx.select(*keys, ts, "__h", follows.alias("__follows"), F.array_sort(F.collect_list(item).over(wl)).alias("__arr"))
+             .where((F.col("__h") == 0) & (F.col("__follows").isNull() | (F.col("__follows") != F.col(ts)))))
+    att = asof_join(dec, lastn, keys, ts, strict=True, right_cols=["__arr"], probes_from=train.select(*keys, ts), times_from=inter, few_ties=True)
 
+    # In steps, each a projection of its own: a lambda that holds an aggregate computes it once per element.
     s_now = F.col("interaction_step")
+    sz = F.size(F.col("__arr"))
+    att = att.withColumns({f"__last{n}": F.slice(F.col("__arr"), F.greatest(sz - n + 1, F.lit(1)), n) for n in windows})
+    att = att.withColumns({f"__w{n}_{c}": _decayed(F.col(f"__last{n}"), c, f, s_now) for n in windows for c in cols}
+                          | {f"__s{n}_{c}": F.aggregate(_field(F.col(f"__last{n}"), c), F.lit(0.0), lambda a, x: a + x) for n in windows for c in cols}
+                          | {f"__n{n}": F.size(F.col(f"__last{n}")).cast("double") for n in windows})
+    att = att.withColumns({f"__m{n}_{c}": F.aggregate(F.col(f"__w{n}_{c}"), F.lit(0.0), lambda a, x: a + x) / F.col(f"__n{n}") for n in windows for c in cols})
     outs = {}
     for n in windows:
-        sz = F.size(F.col("__arr"))
-        last = F.slice(F.col("__arr"), F.greatest(sz - n + 1, F.lit(1)), n)
-        cnt = F.size(last).cast("double")
+        cnt = F.col(f"__n{n}")
         for c in cols:
-            wv = _decayed(last, c, f, s_now)
-            raw = _field(last, c)
-            mean_w = F.aggregate(wv, F.lit(0.0), lambda a, x: a + x) / cnt
-            ss = F.aggregate(wv, F.lit(0.0), lambda a, x: a + (x - mean_w) * (x - mean_w))
+            mean_w, total = F.col(f"__m{n}_{c}"), F.col(f"__s{n}_{c}")
+            ss = F.aggregate(F.col(f"__w{n}_{c}"), F.lit(0.0), lambda a, x: a + (x - mean_w) * (x - mean_w))
             outs[f"{c}_weighted_{n}roll_step_mean_{alias}"] = F.when(cnt > 0, mean_w)
             outs[f"{c}_weighted_{n}roll_step_std_{alias}"] = F.when(cnt > 1, F.sqrt(ss / (cnt - 1)))
-            outs[f"{c}_{n}roll_step_mean_{alias}"] = F.when(
-                cnt > 0, F.aggregate(raw, F.lit(0.0), lambda a, x: a + x) / cnt)
-            outs[f"{c}_{n}roll_step_sum_{alias}"] = F.when(cnt > 0, F.aggregate(raw, F.lit(0.0), lambda a, x: a + x))
+            outs[f"{c}_{n}roll_step_mean_{alias}"] = F.when(cnt > 0, total / cnt)
+            outs[f"{c}_{n}roll_step_sum_{alias}"] = F.when(cnt > 0, total)
     if last_raw:
         for c in cols:
             outs[f"{c}_{alias}"] = F.element_at(F.col("__arr"), -1)[c]
-    att = att.withColumns(outs).drop("__arr")
+    att = att.withColumns(outs)
+    att = att.drop(*[c for c in att.columns if c.startswith("__")])
     new = decay_columns(cols, windows, alias, last_raw)
     fill = [c for c in new if not (last_raw and c in [f"{x}_{alias}" for x in cols])]
     res = train.join(att.drop("interaction_step"), [*keys, ts], "left")
