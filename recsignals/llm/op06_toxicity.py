@@ -41,8 +41,10 @@ WORD_BYTES = word_table((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 PREFIXES = (4, 5, 6, 7, 8)
 #: Products (text x example) in memory at once.
 CELLS = 1 << 20
+#: Entries of short lists read at once (or one text's): each takes some 56 bytes.
+HITS = 1 << 19
 #: Text bytes worked on at once (or one text): a word has up to six terms, each with several arrays.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 18
 
 
 def term_stream(buf: np.ndarray, off: np.ndarray):
@@ -159,10 +161,17 @@ class Model:
         share, found = np.full(len(off) - 1, self.base_rate), {}
         if len(self.labels) and len(row):
             some = max(1, CELLS // (len(self.highest) * self.block))
-            for first in range(0, len(share), some):
-                a, z = np.searchsorted(row, (first, first + some))
-                for r, hits in enumerate(self.nearest(row[a:z] - first, term[a:z], w[a:z], min(some, len(share) - first), k), first):
+            read = np.concatenate(([0], np.cumsum(np.where(self.long[term] < 0, self.starts[term + 1] - self.starts[term], 0))))
+            first = 0
+            while first < len(share):
+                a = np.searchsorted(row, first)
+                far = np.searchsorted(read, read[a] + HITS, side="right") - 1
+                whole = int(row[far]) if far < len(row) else len(share)
+                to = min(first + some, max(first + 1, whole), len(share))
+                z = np.searchsorted(row, to)
+                for r, hits in enumerate(self.nearest(row[a:z] - first, term[a:z], w[a:z], to - first, k), first):
                     found[r], share[r] = hits, self.votes(*hits, prior)
+                first = to
         return share, found
 
 

@@ -154,3 +154,19 @@ def test_pipeline_stages(spark):
         docs = out
     packed = corpus_pipeline.STAGES[4][1](spark, docs, SF).toPandas()
     assert set(packed["doc_id"].dropna()) == {i for i, _ in plain(docs) if i is not None} and (packed.groupby("sequence_id")["length"].sum() <= 2048).all()
+
+
+def test_short_lists_are_read_in_bounded_runs(spark, model, monkeypatch):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()] + ["", "zzzzqqq"]
+    buf, off = text_view(pa.array(texts))
+    want, near = model.shares(buf, off, 16, 1.0)
+    sizes, runs = [], op06_toxicity.runs
+    monkeypatch.setattr(op06_toxicity, "runs", lambda starts, at: (sizes.append((starts[at + 1] - starts[at]).sum()), runs(starts, at))[1])
+    monkeypatch.setattr(op06_toxicity, "HITS", 1)
+    model.shares(buf, off, 16, 1.0)
+    most = max(sizes)  # of one text
+    sizes.clear()
+    monkeypatch.setattr(op06_toxicity, "HITS", 2 * int(most))
+    share, found = model.shares(buf, off, 16, 1.0)
+    assert max(sizes) <= 2 * most < sum(sizes) and np.allclose(share, want)
+    assert all(found[r][1].tolist() == near[r][1].tolist() for r in near)
