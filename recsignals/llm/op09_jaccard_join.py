@@ -4,7 +4,7 @@ Method. Texts become sets of hashed shingles; equal sets are one node. A node's
 prefix is the smallest part of its set that any partner must share a shingle
 with (|x| - ceil(t|x|) + 1 of them, in one global order). Nodes that share a
 prefix shingle meet in a tile; sorted by set size, only bands within the
-threshold's ratio are compared. Each node has a bitmap of two to four bits per
+threshold's ratio are compared. Each node has a bitmap of one to two bits per
 shingle, toggled by each; unequal bits are at most unequal shingles, so a bit
 count bounds the overlap from above. So does the place of the first shared
 shingle: what is shared stands behind it in both. Pairs that pass are decided
@@ -72,8 +72,8 @@ def node_of(x: np.ndarray) -> int:
 
 
 def bitmap(x: np.ndarray) -> bytes:
-    """One bit toggled per shingle; two to four times as many bits as shingles, a power of two, 64 at least."""
-    width = max(64, 2 << (len(x) - 1).bit_length())
+    """One bit toggled per shingle; one to two times as many bits as shingles, a power of two, 64 at least."""
+    width = max(64, 1 << (len(x) - 1).bit_length())
     odd = np.bincount((x >> U64(20)).astype(np.int64) & (width - 1), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -144,8 +144,9 @@ def prefix_rows(rows: DataFrame, frequent, words: int, percent: int, parts: int,
         def flush():
             k = np.concatenate(keys)
             lens = np.array([len(x) for x in keys])
-            node, size = np.repeat(np.array(nodes, np.int64), lens), np.repeat(np.array(sizes, np.int32), lens)
-            place = segments(np.zeros(len(lens), np.int64), lens).astype(np.int32)
+            kind = np.uint16 if max(sizes) < 1 << 16 else np.int32  # told apart by the cells' lengths
+            node, size = np.repeat(np.array(nodes, np.int64), lens), np.repeat(np.array(sizes, kind), lens)
+            place = segments(np.zeros(len(lens), np.int64), lens).astype(kind)
             salt = np.where(hot[k >> U64(64 - COUNTER_BITS)], node.view(U64) % U64(salts), U64(0))
             bucket = (mix(k + salt * U64(0x9E3779B97F4A7C15)) % U64(parts)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
@@ -172,11 +173,17 @@ def prefix_rows(rows: DataFrame, frequent, words: int, percent: int, parts: int,
     return rows.select("text").mapInArrow(run, "bucket int, keys binary, nodes binary, sizes binary, places binary")
 
 
+def numbers(packed: bytes, n: int) -> np.ndarray:
+    """n numbers, packed with two or four bytes each."""
+    return np.frombuffer(packed, np.uint16 if len(packed) == 2 * n else np.int32).astype(np.int32)
+
+
 def tiles(packed: DataFrame, percent: int, keep_all: bool) -> DataFrame:
     """Entries of shared prefix shingles (key, node, size, place), and star pairs (pivot, node, shared) per size band."""
 
     def run(table: pa.Table) -> pa.Table:
-        key, node, size, place = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("keys", np.int64), ("nodes", np.int64), ("sizes", np.int32), ("places", np.int32)))
+        key, node = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("keys", "nodes"))
+        size, place = (np.concatenate([numbers(x, len(k) // 8) for k, x in zip(table.column("keys").to_pylist(), table.column(c).to_pylist())]) for c in ("sizes", "places"))
         order = np.lexsort((node, size, key))
         key, node, size, place = key[order], node[order], size[order].astype(np.int64), place[order].astype(np.int64)
         new = np.ones(len(key), bool)
@@ -383,8 +390,8 @@ def join(docs: DataFrame, id_col="doc_id", text_col="text", words=5, percent=75)
         chunks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
         tiled = placed.join(per, "key").withColumn("minor", F.col("comp") != F.col("major")).withColumn("chunk", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), chunks).cast("int")))))
         tiled = stage(tiled.select("key", "chunk", "minor", "node", "size", "place", "comp"), "op9-open")
-        # Groups are bounded in bytes, and each is a task's only one: a bitmap has up to half a byte per shingle.
-        load = tiled.agg(F.sum(F.lit(64) + F.col("size") / 2)).first()[0] or 0
+        # Groups are bounded in bytes, and each is a task's only one: a bitmap has up to a quarter of a byte per shingle.
+        load = tiled.agg(F.sum(F.lit(64) + F.col("size") / 4)).first()[0] or 0
         spread = buckets(load, GROUP_BYTES)
         more = tiled.join(about.select("node", "bits"), "node").withColumn("part", F.pmod(F.xxhash64("key", "chunk"), F.lit(spread)))
         more = more.repartition(spread, "part")

@@ -112,3 +112,15 @@ def test_repeats(spark, monkeypatch, small):
     got = sorted(((r.doc_id, bytes(r.kept), r.n_bytes, [list(x) for x in r.runs]) for r in op.dedup(docs).collect()), key=repr)
     assert got == brute_repeats(rows, 200)
     assert op.dedup(docs.limit(0)).count() == 0
+
+
+def test_entries_are_packed_narrow():
+    """Sizes and places below 65,536 take two bytes each, bitmaps at most two bits per shingle; larger ones are read as well."""
+    import numpy as np
+
+    for kind in (np.uint16, np.int32):
+        x = np.array([3, 65_535, 7], kind)
+        assert op09_jaccard_join.numbers(x.tobytes(), 3).tolist() == x.tolist()
+    for n in (1, 64, 100, 1000):
+        x = np.sort(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64))
+        assert len(op09_jaccard_join.bitmap(x)) <= max(8, n // 4)
