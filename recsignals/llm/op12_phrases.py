@@ -18,7 +18,8 @@ exact; phrases are told apart by their text, not by hash.
 Before the first step the texts are encoded once, as blocks of word numbers with
 their words, and hashed counters of all words and pairs are summed over all blocks
 in a table of fixed size. A word or pair whose counter stays below the threshold
-can't reach it and isn't counted at all; this changes cost only.
+can't reach it and isn't counted at all. A second table does the same for the runs of
+three to five words whose pairs all may reach it. This changes cost only.
 
 The state (one row per counted phrase) is a distributed table; levels whose cycle
 is complete are cut down to their frequent phrases. The driver gets a bitmap of
@@ -132,8 +133,25 @@ def _blocks(batches):
             yield lang.as_py(), Block(lang.as_py(), ids.as_py(), words.as_py())
 
 
-def possible_slots(blocks: DataFrame, bits: int, least: int) -> bytes:
-    """Packed flags of the slots in which words and pairs together occur ``least`` times or more, over all texts.
+def short_grams(block: Block):
+    """(hashes, counts) of the block's words, and of its pairs with repeats."""
+    yield mix(block.hashes), np.bincount(block.at[block.place], minlength=len(block.words))
+    yield block.pairs()[1], None
+
+
+def long_grams(block: Block, flags: np.ndarray):
+    """(hashes, None) of the runs of three to five words, with repeats, all of whose pairs are flagged."""
+    both, h = block.pairs()
+    pair, words = np.zeros(len(block.at), bool), block.hashes[block.at]
+    pair[both[_flag(flags, h, (8 * len(flags) - 1).bit_length())]] = True
+    run = pair
+    for k in range(3, LONGEST + 1):
+        run = run[:-1] & pair[k - 2 :]
+        yield gram_hashes(words, k)[np.flatnonzero(run)], None
+
+
+def possible_slots(blocks: DataFrame, bits: int, least: int, grams) -> bytes:
+    """Packed flags of the slots in which the ``grams`` of all blocks together occur ``least`` times or more.
 
     A task counts in a table of fixed size; tables are added slice by slice."""
     slices = min(64, 1 << (bits - 6))
@@ -143,8 +161,7 @@ def possible_slots(blocks: DataFrame, bits: int, least: int) -> bytes:
         total, seen = np.zeros(1 << bits, kind), False
         for _, block in _blocks(batches):
             seen = True
-            words = np.bincount(block.at[block.place], minlength=len(block.words))
-            for h, n in ((mix(block.hashes), words), (block.pairs()[1], None)):
+            for h, n in grams(block):
                 slot, first = np.unique(h >> U64(64 - bits), return_inverse=True)
                 n = np.bincount(first, n) + total[slot]
                 total[slot] = np.minimum(n, least).astype(kind)
@@ -180,7 +197,7 @@ def _flag(flags: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
     return (flags[(slot >> U64(3)).astype(np.int64)] >> (7 - (slot & U64(7))).astype(np.uint8)) & 1 == 1
 
 
-def block_counts(block: Block, tags: np.ndarray, flags: np.ndarray, step: int, shards: int):
+def block_counts(block: Block, tags: np.ndarray, flags: np.ndarray, longer: np.ndarray, step: int, shards: int):
     """(phrases, k, slot hashes, counts) of one block: words in the first cycle, longer phrases while they are active."""
     at, hashes = block.at, block.hashes
     text = pa.array([w.decode("utf-8") for w in block.words], pa.string())
@@ -213,20 +230,22 @@ def block_counts(block: Block, tags: np.ndarray, flags: np.ndarray, step: int, s
         parts = [at[place[first] + j] for j in range(k)]
         h = gram_hashes(hashes[np.stack(parts, 1).ravel()], k)[::k]
         active = since[first].astype(np.int64) >= step - shards
+        if k > 2:
+            active &= _flag(longer, h, (8 * len(longer) - 1).bit_length())
         if active.any():
             names = pc.binary_join_element_wise(*[text.take(pa.array(p[active])) for p in parts], " ")
             yield names, np.full(len(names), k), h[active], n[active]
         tag = tags[h >> slots][gram]
 
 
-def scan(shard: DataFrame, tags, flags, step: int, shards: int) -> DataFrame:
+def scan(shard: DataFrame, tags, flags, longer, step: int, shards: int) -> DataFrame:
     """Counts of the active phrases in one shard: lang, phrase, k, h, c."""
     names = ["lang", "phrase", "k", "h", "c"]
 
     def run(batches):
-        possible = np.frombuffer(flags.value, np.uint8)
+        possible, possible_longer = (np.frombuffer(f.value, np.uint8) for f in (flags, longer))
         for lang, block in _blocks(batches):
-            for phrase, k, h, n in block_counts(block, tags.value, possible, step, shards):
+            for phrase, k, h, n in block_counts(block, tags.value, possible, possible_longer, step, shards):
                 cols = [pa.array([lang] * len(phrase), pa.string()), phrase, pa.array(k.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
         give_back()
@@ -265,14 +284,16 @@ def phrase_counts(docs: DataFrame, lang_col="lang", text_col="text", least=100,
     words = shard_of.agg(F.sum("n")).first()[0] or 0
     size = lambda slots, limit: min(max(math.ceil(math.log2(1 + slots)), limit[0]), limit[1])
     bits = size(words / least, SLOT_BITS)
-    flags = spark.sparkContext.broadcast(possible_slots(shard_of, size(6 * words / least, COUNTER_BITS), least))
+    counters = size(6 * words / least, COUNTER_BITS)
+    flags = spark.sparkContext.broadcast(possible_slots(shard_of, counters, least, short_grams))
+    longer = spark.sparkContext.broadcast(possible_slots(shard_of, counters, least, lambda block: long_grams(block, np.frombuffer(flags.value, np.uint8))))
 
     tags = np.zeros(1 << bits, np.uint8)
     state_path, state, step, fresh_at = None, None, 0, {}
     while True:
         step += 1
         sent, bit = spark.sparkContext.broadcast(tags), 1 << ((step - 1) % shards)
-        counted = scan(shard_of.filter(F.col("shard") == (step - 1) % shards), sent, flags, step, shards)
+        counted = scan(shard_of.filter(F.col("shard") == (step - 1) % shards), sent, flags, longer, step, shards)
         counted = counted.select(*_STATE, F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("mask"), F.lit(0).alias("tag"), "c")
         if state is not None:
             counted = counted.unionByName(state.withColumn("c", F.lit(0).cast("long")))
@@ -302,6 +323,7 @@ def phrase_counts(docs: DataFrame, lang_col="lang", text_col="text", least=100,
             break
         tags[fresh_slots(state.filter(F.col("k") < LONGEST), step, bits)] = step
     flags.unpersist()
+    longer.unpersist()
     drop_path(spark, path)
     return state.filter((F.col("n") >= least) | (F.col("k") == 0)).select("lang", "phrase", "k", "n")
 

@@ -71,3 +71,18 @@ def test_empty(spark):
     none = spark.createDataFrame([], "lang string, text string")
     assert op.collocations(none).count() == 0
     assert op.collocations(spark.createDataFrame([("en", None), (None, "one two")], "lang string, text string")).count() == 0
+
+
+def test_longer_phrases_are_counted_only_if_they_may_reach_the_threshold(spark, monkeypatch):
+    counted, scan = Counter(), op.scan
+
+    def watched(*args):
+        out = scan(*args)
+        counted.update(r.phrase for r in out.collect() if r.k >= 3)
+        return out
+
+    monkeypatch.setattr(op, "scan", watched)
+    rows = [("en", "a b. b c. c d. " * 30 + "a b c d. a b c. " + "p q r s t. " * 20)] * 2
+    got = {r.phrase: r.n for r in op.phrase_counts(spark.createDataFrame(rows, "lang string, text string"), least=30).collect()}
+    assert got["a b"] == 64 and got["b c"] == 64 and got["p q r s t"] == 40
+    assert set(counted) == {"p q r", "q r s", "r s t", "p q r s", "q r s t", "p q r s t"}
