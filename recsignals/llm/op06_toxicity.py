@@ -129,7 +129,7 @@ class Model:
         place = self.long[term]
         few, many = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
         at, n = runs(self.starts, term[few])
-        near = np.bincount(np.repeat(row[few] * size, n) + self.example[at], np.repeat(weight[few], n) * self.value[at], n_rows * size).reshape(n_rows, size)
+        near = np.bincount(np.repeat(row[few] * size, n) + self.example[at], np.repeat(weight[few], n) * self.value[at], n_rows * size).astype(float, copy=False).reshape(n_rows, size)  # of no entries: integers
         wide = np.zeros((n_rows, self.highest.shape[1]))
         wide[row[many], place[many]] = weight[many]
         bound = near.reshape(n_rows, -1, self.block).max(axis=2) + wide @ self.highest.T
