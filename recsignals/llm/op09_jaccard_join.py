@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsignals.llm.common import NULL_ID, buckets, id_back, keyed, small_side, stage, without
+from recsignals.llm.common import NULL_ID, buckets, few, id_back, keyed, small_side, stage, without
 from recsignals.llm.graph import components
 from recsignals.llm.textbuf import U64, PrefixHash, ascii_lower, blocks, give_back, gram_hashes, mix, segments, word_spans, word_table
 
@@ -46,8 +46,8 @@ WORD_BYTES = ~word_table((0x20, 0x20), (0x09, 0x0D))
 COUNTER_BITS, SLICES = 20, 64
 #: Prefix entries per task, nodes of one tile per task, members verified beside one pivot.
 BUCKET_KEYS, TILE_ROWS, PIVOT_ROWS = 400_000, 20_000, 200
-#: Bytes of entries with their bitmaps per group of tiles.
-GROUP_BYTES = 12 << 20
+#: Bytes of entries with their bitmaps per group of tiles; texts that a task verifies at least.
+GROUP_BYTES, VERIFY_TEXTS = 12 << 20, 2_000
 
 
 def shingle_sets(buf, off, words: int) -> list[np.ndarray]:
@@ -125,7 +125,7 @@ def frequent_table(signed: DataFrame) -> np.ndarray:
 
     n = signed.filter("node is not null").count()
     total = np.zeros((SLICES, (1 << COUNTER_BITS) // SLICES), np.int64)
-    for r in signed.filter("slice is not null").select("slice", "counts").groupBy("slice").applyInPandas(add, "slice int, counts binary").collect():
+    for r in signed.filter("slice is not null").select("slice", "counts").groupBy("slice").applyInPandas(add, "slice int, counts binary").coalesce(SLICES // 4).collect():
         total[r["slice"]] = np.frombuffer(r["counts"], np.int64)
     total = total.ravel()
     return total >= max(64, n // 1000, 4 * int(total.mean()))
@@ -169,6 +169,8 @@ def prefix_rows(rows: DataFrame, frequent, words: int, percent: int, parts: int,
                 keys, nodes, sizes, held = [], [], [], 0
         if keys:
             yield flush()
+        keys.clear()
+        give_back()
 
     return rows.select("text").mapInArrow(run, "bucket int, keys binary, nodes binary, sizes binary, places binary")
 
@@ -317,21 +319,23 @@ def cross_pairs(entries: DataFrame, percent: int, k: int) -> DataFrame:
 # ---- exact decision ----------------------------------------------------------------------
 
 
-def verify(pairs: DataFrame, texts: DataFrame, holders: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by intersecting the sets of both whole texts.
+def verify(pairs: DataFrame, rows: int, texts: DataFrame, holders: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by intersecting the sets of both whole texts; ``rows`` is about their number.
 
     holders: (node, kid, th), one text per node. Members are read beside their
     pivot ``a``; a pivot with many members is spread over salted groups.
     """
-    pairs = stage(pairs.select("a", "b").distinct(), "op9-pairs")
+    pairs = stage(few(pairs.select("a", "b").distinct(), rows), "op9-pairs")
+    rows = pairs.count()
     load = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIVOT_ROWS).alias("salts"))
     salted = pairs.join(load, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")))
     wanted = salted.select("a", "salt", F.col("b").alias("node"), F.lit(0).alias("pivot")).unionByName(salted.select("a", "salt", F.col("a").alias("node"), F.lit(1).alias("pivot")).distinct())
-    wanted = stage(wanted.join(holders, "node"), "op9-wanted")
+    wanted = stage(few(wanted.join(holders, "node"), 2 * rows), "op9-wanted")
     ask = small_side(wanted, 48)
     beside = texts.join(ask, ["kid", "th"]).select("a", "salt", "pivot", "node", "text")
     spark = texts.sparkSession
-    beside = beside.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "salt").sortWithinPartitions("a", "salt", F.desc("pivot"))
+    beside = beside.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "salt")
+    beside = few(beside, 2 * rows, VERIFY_TEXTS).sortWithinPartitions("a", "salt", F.desc("pivot"))
 
     def run(batches):
         own, own_set = None, None
@@ -348,7 +352,7 @@ def verify(pairs: DataFrame, texts: DataFrame, holders: DataFrame, words: int, p
                     links.append((a, node))
             yield pa.RecordBatch.from_arrays([pa.array([v[0] for v in links], pa.int64()), pa.array([v[1] for v in links], pa.int64())], names=["a", "b"])
 
-    return stage(beside.mapInArrow(run, "a long, b long").distinct(), "op9-links")
+    return stage(few(beside.mapInArrow(run, "a long, b long").distinct(), rows), "op9-links")
 
 
 def join(docs: DataFrame, id_col="doc_id", text_col="text", words=5, percent=75) -> tuple[DataFrame, DataFrame]:
@@ -361,8 +365,8 @@ def join(docs: DataFrame, id_col="doc_id", text_col="text", words=5, percent=75)
     size = nodes.agg(F.sum("n").alias("n"), F.count("*").alias("rows")).first()
     parts = buckets((size["n"] or 0) * (100 - percent) / 100, BUCKET_KEYS)
     salts = 1 + size["rows"] // 5_000_000
-    shared = stage(tiles(prefix_rows(texts, frequent, words, percent, parts, salts).repartition(parts, "bucket"), percent, salts > 1), "op9-tiles")
-    holders = stage(nodes.groupBy("node").agg(F.min(F.struct("kid", "th")).alias("d"), F.first("n").alias("n"), F.first("bits").alias("bits")).select("node", "d.kid", "d.th", "n", "bits"), "op9-nodes")
+    shared = stage(tiles(prefix_rows(texts, frequent, words, percent, parts, salts).repartition(parts, "bucket"), percent, salts > 1).coalesce(parts), "op9-tiles")
+    holders = stage(few(nodes.groupBy("node").agg(F.min(F.struct("kid", "th")).alias("d"), F.first("n").alias("n"), F.first("bits").alias("bits")).select("node", "d.kid", "d.th", "n", "bits"), size["rows"], 10_000), "op9-nodes")
     about = holders.select("node", "n", "bits")
 
     # Each node beside the pivot that it shares most prefix shingles with.
@@ -378,30 +382,34 @@ def join(docs: DataFrame, id_col="doc_id", text_col="text", words=5, percent=75)
             keep = _may_link(n, m, (n + m - unequal) // 2, percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    near = best.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(bound, "a long, b long")
-    links = verify(near, texts, holders.select("node", "kid", "th"), words, percent)
+    near = few(best.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), size["rows"], 10_000).mapInArrow(bound, "a long, b long")
+    links = verify(near, size["rows"], texts, holders.select("node", "kid", "th"), words, percent)
 
     # Rounds over the pairs that still join different components.
     entries, k = shared.filter("key is not null").select("key", "node", "size", "place"), 4
+    comps = stage(components(links), "op9-components")
     while True:
-        comps = stage(components(links), "op9-components")
-        placed = stage(entries.join(small_side(comps, 16), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component"), "op9-entries")
+        rows = entries.count()
+        placed = stage(few(entries.join(small_side(comps, 16), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component"), rows), "op9-entries")
         per = placed.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("rows"), F.max(F.struct("n", "comp"))["comp"].alias("major"), F.count("*").alias("comps")).filter("comps > 1")
         chunks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
         tiled = placed.join(per, "key").withColumn("minor", F.col("comp") != F.col("major")).withColumn("chunk", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), chunks).cast("int")))))
-        tiled = stage(tiled.select("key", "chunk", "minor", "node", "size", "place", "comp"), "op9-open")
+        tiled = stage(few(tiled.select("key", "chunk", "minor", "node", "size", "place", "comp"), rows), "op9-open")
         # Groups are bounded in bytes, and each is a task's only one: a bitmap has up to a quarter of a byte per shingle.
         load = tiled.agg(F.sum(F.lit(64) + F.col("size") / 4)).first()[0] or 0
         spread = buckets(load, GROUP_BYTES)
         more = tiled.join(about.select("node", "bits"), "node").withColumn("part", F.pmod(F.xxhash64("key", "chunk"), F.lit(spread)))
         more = more.repartition(spread, "part")
-        more = stage(cross_pairs(more, percent, k), "op9-cross")
-        links = stage(links.unionByName(verify(more, texts, holders.select("node", "kid", "th"), words, percent)).distinct(), "op9-links")
-        back = stage(more.select(F.explode(F.array("held_a", "held_b")).alias("comp")).filter("comp is not null").distinct(), "op9-held")
+        more = stage(cross_pairs(more, percent, k).coalesce(spread), "op9-cross")
+        rows = more.count()
+        found = verify(more, rows, texts, holders.select("node", "kid", "th"), words, percent)
+        if not found.isEmpty():  # components change by new links only
+            links = stage(links.unionByName(found), "op9-links")
+            comps = stage(components(links), "op9-components")
+        back = stage(few(more.select(F.explode(F.array("held_a", "held_b")).alias("comp")).filter("comp is not null").distinct(), 2 * rows), "op9-held")
         if back.isEmpty():
             break
         entries, k = placed.join(small_side(back, 8), "comp", "left_semi").select("key", "node", "size", "place"), 8 * k
-    comps = stage(components(links), "op9-components")
     members = signed.filter("slice is null").select("kid", "th", "n", "node").join(small_side(comps, 16), "node", "left").select("kid", "th", "n", "node", F.coalesce("component", "node").alias("component"))
     return members, links
 

@@ -124,3 +124,24 @@ def test_entries_are_packed_narrow():
     for n in (1, 64, 100, 1000):
         x = np.sort(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64))
         assert len(op09_jaccard_join.bitmap(x)) <= max(8, n // 4)
+
+
+def test_small_tables_take_few_tasks(spark, monkeypatch):
+    """However many shuffle partitions a session has, components of few edges are found and stored in few tasks."""
+    from recsignals.llm import graph
+
+    parts, stage = [], graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, name: parts.append(df.rdd.getNumPartitions()) or stage(df, name))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 20)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        edges = spark.createDataFrame([(i, i + 1) for i in range(8)] + [(i, 100) for i in range(101, 130)] + [(200, 201), (201, 200), (300, 300)], "a long, b long")
+        for limit in (graph.BROADCAST_BYTES, 0):  # also by shuffles
+            monkeypatch.setattr(graph, "BROADCAST_BYTES", limit)
+            got = dict(map(tuple, graph.components(edges).collect()))
+            assert got == {i: 0 for i in range(9)} | {i: 100 for i in range(100, 130)} | {200: 200, 201: 200}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(parts) > 3 and max(parts) <= 12
