@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 
 from recsignals.llm.common import BROADCAST_BYTES, buckets, id_back, keyed, stage
 from recsignals.llm.difference_cover import PERIOD, CoverSample
-from recsignals.llm.textbuf import U64, PrefixHash, blocks, mix, segments
+from recsignals.llm.textbuf import U64, PrefixHash, blocks, give_back, mix, segments
 
 #: Contexts of one anchor that are sorted in a block, and text bytes of a block.
 HOT_CONTEXTS, BLOCK_TEXT = 5_000, 2 << 20
-#: Anchors per task of step 2, context bytes per task of step 3.
-BUCKET_ANCHORS, BUCKET_CONTEXTS = 300_000, 8 << 20
+#: Anchors per task of step 2, context bytes per task of step 3; anchors that a task of step 1 holds at a time.
+BUCKET_ANCHORS, BUCKET_CONTEXTS, TASK_ANCHORS = 300_000, 8 << 20, 150_000
 _SCAN_BYTES = 256 << 10
 
 
@@ -151,11 +151,14 @@ def _anchor_rows(rows: DataFrame, span: int, gram: int, parts: int) -> DataFrame
                 owners.append(row + seen)
                 n += len(row)
             seen += batch.num_rows
-            if n > 2 * BUCKET_ANCHORS:
+            if n > min(TASK_ANCHORS, 2 * BUCKET_ANCHORS):
                 yield from settle({k: np.concatenate([x[k] for x in held]) for k in held[0]}, np.concatenate(owners))
                 held, owners, n = [], [], 0
+                give_back()
         if held:
             yield from settle({k: np.concatenate([x[k] for x in held]) for k in held[0]}, np.concatenate(owners))
+        held.clear()
+        give_back()
 
     return rows.mapInArrow(run, schema)
 
@@ -186,6 +189,8 @@ def _meet(packed: DataFrame, span: int) -> DataFrame:
         for mask, more in ((covered, {"need": None, "hot": None}), (ask, {"need": (~repeated & (got["done"] == 0)).astype(np.int32)[ask], "hot": (contexts > HOT_CONTEXTS).astype(np.int32)[ask]})):
             cols = {k: v[mask] for k, v in base.items()} | more
             out.append(pd.DataFrame(cols).astype({"need": "Int32", "hot": "Int32"}))
+        del got, base, cols
+        give_back()
         return pd.concat(out, ignore_index=True)
 
     return packed.groupBy("bucket").applyInPandas(run, schema)
@@ -264,6 +269,7 @@ def _sort_blocks(packed: DataFrame, span: int) -> DataFrame:
             o, s, e = block(mine, text, first[own])
             out.append(pd.DataFrame({"kid": mine["kid"][o], "th": mine["th"][o], "start": s, "end": e}))
             i = z
+        give_back()
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"kid": [], "th": [], "start": [], "end": []})
 
     return packed.groupBy("bucket").applyInPandas(run, _RUN)

@@ -145,3 +145,15 @@ def test_small_tables_take_few_tasks(spark, monkeypatch):
         for k, v in held.items():
             spark.conf.set(k, v)
     assert len(parts) > 3 and max(parts) <= 12
+
+
+def test_anchors_are_held_in_bounded_runs(spark, monkeypatch):
+    from recsignals.llm import op04_suffix_dedup as op
+    from recsignals.llm.common import keyed
+
+    monkeypatch.setattr(op, "TASK_ANCHORS", 2_000)
+    monkeypatch.setattr(op, "_SCAN_BYTES", 20_000)
+    rng = random.Random(9)
+    docs = spark.createDataFrame([(i, "".join(rng.choices("abcdefgh ", k=10_000))) for i in range(60)], "doc_id long, text string").coalesce(1)
+    rows = op._anchor_rows(keyed(docs, "doc_id", "text"), 200, 96, 1).filter("bucket is not null").collect()
+    assert len(rows) > 2 and max(len(r.p_h) // 8 for r in rows) < 3_000
