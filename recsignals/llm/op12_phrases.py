@@ -21,6 +21,10 @@ in a table of fixed size. A word or pair whose counter stays below the threshold
 can't reach it and isn't counted at all. A second table does the same for the runs of
 three to five words whose pairs all may reach it. This changes cost only.
 
+A task adds up its blocks before it sends counts, and its hashed counters travel
+compressed, so what is shuffled follows the phrases and the tasks (``TASK_WORDS``
+words each), not the blocks.
+
 The state (one row per counted phrase) is a distributed table; levels whose cycle
 is complete are cut down to their frequent phrases. The driver gets a bitmap of
 fixed size per step.
@@ -48,13 +52,13 @@ from recsignals.llm.common import buckets, ship_package, small_side, stage
 from recsignals.llm.textbuf import U64, give_back, gram_hashes, mix
 from recsignals.session import drop_path, run_folder, write_stage
 
-#: Shards of the cycle; text bytes of a block.
-SHARDS, BLOCK_BYTES = 3, 8 << 20
+#: Shards of the cycle; text bytes of a block; words a task counts at least; counts it holds before it sends them.
+SHARDS, BLOCK_BYTES, TASK_WORDS, HELD_COUNTS = 3, 8 << 20, 8_000_000, 600_000
 #: Least and most bits of the table of active phrases (a byte each) and of the table of hashed counters (a bit each, a byte inside a task).
 SLOT_BITS, COUNTER_BITS = (16, 25), (16, 27)
 LONGEST = 5
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n ")
-_STATE = "lang", "phrase", "k", "h"
+_STATE = "lang", "phrase", "k"
 
 
 class _Words(dict):
@@ -107,13 +111,16 @@ def encoded(rows: DataFrame, shards: int) -> DataFrame:
     return rows.mapInArrow(run, "lang string, ids binary, words binary, n long, shard int")
 
 
+def language_seed(lang: str) -> np.uint64:
+    return U64(xxhash.xxh64_intdigest(lang.encode(), 1) | 1)
+
+
 class Block:
     """A block of one language: its word numbers, words and the words' hashes."""
 
     def __init__(self, lang: str, ids: bytes, words: bytes):
         self.at, self.words = np.frombuffer(ids, np.int32), words.split(b" ")
-        seed = U64(xxhash.xxh64_intdigest(lang.encode(), 1) | 1)
-        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), U64, len(self.words)) + seed
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), U64, len(self.words)) + language_seed(lang)
         self.place = np.flatnonzero(self.at)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -150,6 +157,14 @@ def long_grams(block: Block, flags: np.ndarray):
         yield gram_hashes(words, k)[np.flatnonzero(run)], None
 
 
+def zipped(a: np.ndarray) -> bytes:
+    return pa.Codec("zstd", compression_level=1).compress(a.tobytes(), asbytes=True)
+
+
+def unzipped(cell: bytes, n: int, kind) -> np.ndarray:
+    return np.frombuffer(pa.Codec("zstd").decompress(cell, decompressed_size=n * np.dtype(kind).itemsize, asbytes=True), kind)
+
+
 def possible_slots(blocks: DataFrame, bits: int, least: int, grams) -> bytes:
     """Packed flags of the slots in which the ``grams`` of all blocks together occur ``least`` times or more.
 
@@ -168,24 +183,26 @@ def possible_slots(blocks: DataFrame, bits: int, least: int, grams) -> bytes:
         if seen:
             for i, own in enumerate(total.reshape(slices, width)):
                 at = np.flatnonzero(own).astype(np.int32)
-                dense = 5 * len(at) > width
-                cols = [pa.array([i], pa.int32()), pa.array([None if dense else at.tobytes()], pa.binary()), pa.array([(own if dense else own[at]).tobytes()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["slice", "at", "counts"])
+                dense = 8 * len(at) > width
+                # Steps between the slots in use are small numbers.
+                steps, n = (None, width) if dense else (zipped(np.diff(at, prepend=np.int32(0))), len(at))
+                cols = [pa.array([i], pa.int32()), pa.array([n], pa.int32()), pa.array([steps], pa.binary()), pa.array([zipped(own if dense else own[at])], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["slice", "n", "at", "counts"])
         give_back()
 
     def add(key: tuple[pa.Scalar, ...], tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, np.int64)
         for table in tables:
-            for at, counts in zip(table.column("at"), table.column("counts")):
-                own = np.frombuffer(counts.as_py(), kind)
+            for n, at, counts in zip(table.column("n").to_pylist(), table.column("at"), table.column("counts")):
+                own = unzipped(counts.as_py(), n, kind)
                 if at.is_valid:
-                    total[np.frombuffer(at.as_py(), np.int32)] += own
+                    total[np.cumsum(unzipped(at.as_py(), n, np.int32))] += own
                 else:
                     total += own
         cols = [pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())]
         yield pa.RecordBatch.from_arrays(cols, names=["slice", "flags"])
 
-    parts = blocks.mapInArrow(count, "slice int, at binary, counts binary")
+    parts = blocks.mapInArrow(count, "slice int, n int, at binary, counts binary")
     out = np.zeros((slices, width // 8), np.uint8)
     for r in parts.groupBy("slice").applyInArrow(add, "slice int, flags binary").collect():
         out[r["slice"]] = np.frombuffer(r["flags"], np.uint8)
@@ -198,7 +215,7 @@ def _flag(flags: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
 
 
 def block_counts(block: Block, tags: np.ndarray, flags: np.ndarray, longer: np.ndarray, step: int, shards: int):
-    """(phrases, k, slot hashes, counts) of one block: words in the first cycle, longer phrases while they are active."""
+    """(phrases, k, counts) of one block: words in the first cycle, longer phrases while they are active."""
     at, hashes = block.at, block.hashes
     text = pa.array([w.decode("utf-8") for w in block.words], pa.string())
     slots, bits = U64(64 - (len(tags) - 1).bit_length()), (8 * len(flags) - 1).bit_length()
@@ -210,7 +227,7 @@ def block_counts(block: Block, tags: np.ndarray, flags: np.ndarray, longer: np.n
         names = pa.concat_arrays([pa.array([""]), text.filter(pa.array(keep))])
         k = np.ones(len(names), int)
         k[0] = 0
-        yield names, k, np.concatenate([own[:1], own[keep]]), np.concatenate([[n.sum()], n[keep]])
+        yield names, k, np.concatenate([[n.sum()], n[keep]])
     # Per place: the number of the k-gram that begins there, and the step in which it became frequent (0: not yet).
     place, gram = block.place, at[block.place].astype(np.int64)
     tag = tags[own >> slots][gram]
@@ -234,24 +251,36 @@ def block_counts(block: Block, tags: np.ndarray, flags: np.ndarray, longer: np.n
             active &= _flag(longer, h, (8 * len(longer) - 1).bit_length())
         if active.any():
             names = pc.binary_join_element_wise(*[text.take(pa.array(p[active])) for p in parts], " ")
-            yield names, np.full(len(names), k), h[active], n[active]
+            yield names, np.full(len(names), k), n[active]
         tag = tags[h >> slots][gram]
 
 
 def scan(shard: DataFrame, tags, flags, longer, step: int, shards: int) -> DataFrame:
-    """Counts of the active phrases in one shard: lang, phrase, k, h, c."""
-    names = ["lang", "phrase", "k", "h", "c"]
+    """Counts of the active phrases in one shard, added up in each task: lang, phrase, k, c."""
+
+    def added(held: list[pa.Table]) -> pa.Table:
+        out = pa.concat_tables(held).group_by(list(_STATE), use_threads=False).aggregate([("c", "sum")])
+        return pa.table([out.column(c) for c in (*_STATE, "c_sum")], names=[*_STATE, "c"])
 
     def run(batches):
         possible, possible_longer = (np.frombuffer(f.value, np.uint8) for f in (flags, longer))
+        held, rows = [], 0
         for lang, block in _blocks(batches):
-            for phrase, k, h, n in block_counts(block, tags.value, possible, possible_longer, step, shards):
-                cols = [pa.array([lang] * len(phrase), pa.string()), phrase, pa.array(k.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+            for phrase, k, n in block_counts(block, tags.value, possible, possible_longer, step, shards):
+                held.append(pa.table([pa.repeat(lang, len(phrase)), phrase, pa.array(k.astype(np.int32)), pa.array(n.astype(np.int64))], names=[*_STATE, "c"]))
+                rows += len(phrase)
+            if rows > HELD_COUNTS:
+                held = [added(held)]
+                rows = held[0].num_rows
+                if 2 * rows > HELD_COUNTS:  # mostly different phrases
+                    yield from held[0].to_batches(max_chunksize=50_000)
+                    held, rows = [], 0
+        if held:
+            yield from added(held).to_batches(max_chunksize=50_000)
+        del held
         give_back()
 
-    found = shard.select("lang", "ids", "words").mapInArrow(run, "lang string, phrase string, k int, h long, c long")
-    return found.groupBy(*_STATE).agg(F.sum("c").alias("c"))
+    return shard.select("lang", "ids", "words").mapInArrow(run, "lang string, phrase string, k int, c long")
 
 
 def fresh_slots(state: DataFrame, step: int, bits: int) -> np.ndarray:
@@ -264,8 +293,13 @@ def fresh_slots(state: DataFrame, step: int, bits: int) -> np.ndarray:
         bitmap[pdf["slot"].to_numpy() % width] = True
         return pd.DataFrame({"slice": [int(pdf["slot"].iloc[0]) // width], "bits": [np.packbits(bitmap).tobytes()]})
 
-    slot = F.shiftrightunsigned("h", 64 - bits)
-    rows = state.filter(F.col("tag") == step).select(slot.alias("slot")).distinct()
+    def slots(batches):
+        for batch in batches:
+            own = [np.array([xxhash.xxh64_intdigest(w) for w in phrase.encode().split(b" ")], U64) + language_seed(lang) for lang, phrase in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase")))]
+            found = [gram_hashes(words, len(words)) >> U64(64 - bits) for words in own]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).astype(np.int64) if found else [], pa.int64())], names=["slot"])
+
+    rows = state.filter(F.col("tag") == step).select("lang", "phrase").mapInArrow(slots, "slot long").distinct()
     out = np.zeros((slices, width), bool)
     for r in rows.groupBy(F.expr(f"slot div {width}")).applyInPandas(pack, "slice int, bits binary").collect():
         out[r["slice"]] = np.unpackbits(np.frombuffer(r["bits"], np.uint8))[:width].astype(bool)
@@ -285,15 +319,16 @@ def phrase_counts(docs: DataFrame, lang_col="lang", text_col="text", least=100,
     size = lambda slots, limit: min(max(math.ceil(math.log2(1 + slots)), limit[0]), limit[1])
     bits = size(words / least, SLOT_BITS)
     counters = size(6 * words / least, COUNTER_BITS)
-    flags = spark.sparkContext.broadcast(possible_slots(shard_of, counters, least, short_grams))
-    longer = spark.sparkContext.broadcast(possible_slots(shard_of, counters, least, lambda block: long_grams(block, np.frombuffer(flags.value, np.uint8))))
+    tasks = buckets(words, TASK_WORDS)
+    flags = spark.sparkContext.broadcast(possible_slots(shard_of.coalesce(tasks), counters, least, short_grams))
+    longer = spark.sparkContext.broadcast(possible_slots(shard_of.coalesce(tasks), counters, least, lambda block: long_grams(block, np.frombuffer(flags.value, np.uint8))))
 
     tags = np.zeros(1 << bits, np.uint8)
     state_path, state, step, fresh_at = None, None, 0, {}
     while True:
         step += 1
         sent, bit = spark.sparkContext.broadcast(tags), 1 << ((step - 1) % shards)
-        counted = scan(shard_of.filter(F.col("shard") == (step - 1) % shards), sent, flags, longer, step, shards)
+        counted = scan(shard_of.filter(F.col("shard") == (step - 1) % shards).coalesce(buckets(words / shards, TASK_WORDS, 6)), sent, flags, longer, step, shards)
         counted = counted.select(*_STATE, F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("mask"), F.lit(0).alias("tag"), "c")
         if state is not None:
             counted = counted.unionByName(state.withColumn("c", F.lit(0).cast("long")))

@@ -86,3 +86,27 @@ def test_longer_phrases_are_counted_only_if_they_may_reach_the_threshold(spark,
     got = {r.phrase: r.n for r in op.phrase_counts(spark.createDataFrame(rows, "lang string, text string"), least=30).collect()}
     assert got["a b"] == 64 and got["b c"] == 64 and got["p q r s t"] == 40
     assert set(counted) == {"p q r", "q r s", "r s t", "p q r s", "q r s t", "p q r s t"}
+
+
+def test_a_task_sends_each_phrase_once(spark, monkeypatch):
+    monkeypatch.setattr(op, "BLOCK_BYTES", 100)
+    sent, scan = [], op.scan
+
+    def watched(*args):
+        out = scan(*args)
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()  # rows as the tasks made them
+        sent.append(Counter((r.lang, r.phrase) for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(op, "scan", watched)
+    docs = spark.createDataFrame([("en", "a b c d"), ("de", "a b")] * 200, "lang string, text string").coalesce(1)
+    got = {(r.lang, r.phrase): r.n for r in op.phrase_counts(docs, least=100).collect()}
+    assert got["en", "a b c d"] == 200 and got["de", "a b"] == 200 and got["de", ""] == 400
+    assert sum(map(len, sent)) > 20 and max(max(x.values()) for x in sent if x) == 1
+
+
+def test_counters_travel_small():
+    import numpy as np
+
+    steps = np.diff(np.flatnonzero(np.random.default_rng(1).random(1 << 16) < 0.02), prepend=0).astype(np.int32)
+    assert len(op.zipped(steps)) < 2 * len(steps) and (op.unzipped(op.zipped(steps), len(steps), np.int32) == steps).all()
