@@ -17,7 +17,6 @@ no ORACLE_SQL; tests/llm holds each stage against brute force.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,15 +39,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     inner = {c: f"__other{i}" for i, c in enumerate(c for c in docs.columns if c not in ("doc_id", "text"))}  # no clash with the operator's names
-    found = op04_suffix_dedup.dedup(docs.select("doc_id", "text", *[docs[c].alias(n) for c, n in inner.items()]), extra=tuple(inner.values()))
-
-    def decode(batches):
-        for batch in batches:
-            text = pa.array([x.as_py().decode("utf-8", "ignore") for x in batch.column("kept")], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, *[batch.column(n) for n in inner.values()]], names=["doc_id", "text", *inner.values()])
-
-    schema = ", ".join(["doc_id bigint", "text string", *[f"{n} {kinds[c]}" for c, n in inner.items()]])
-    out = found.select("doc_id", "kept", *inner.values()).mapInArrow(decode, schema).withColumnsRenamed({n: c for c, n in inner.items()})
+    found = op04_suffix_dedup.dedup(docs.select("doc_id", "text", *[docs[c].alias(n) for c, n in inner.items()]), extra=tuple(inner.values()), as_text=True)
+    out = found.select("doc_id", F.col("kept").alias("text"), *[F.col(n).alias(c) for c, n in inner.items()])
     if "n_chars" in inner:
         out = out.withColumn("n_chars", F.length("text").cast(kinds["n_chars"]))
     return out.select([F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in docs.columns])

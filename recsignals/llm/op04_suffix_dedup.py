@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 
 from recsignals.llm.common import BROADCAST_BYTES, buckets, id_back, keyed, stage
 from recsignals.llm.difference_cover import PERIOD, CoverSample
-from recsignals.llm.textbuf import U64, PrefixHash, blocks, give_back, mix, segments
+from recsignals.llm.textbuf import U64, PrefixHash, blocks, give_back, mix, segments, text_view
 
 #: Contexts of one anchor that are sorted in a block, and text bytes of a block.
-HOT_CONTEXTS, BLOCK_TEXT = 5_000, 2 << 20
-#: Anchors per task of step 2, context bytes per task of step 3; anchors that a task of step 1 holds at a time.
-BUCKET_ANCHORS, BUCKET_CONTEXTS, TASK_ANCHORS = 300_000, 8 << 20, 150_000
+HOT_CONTEXTS, BLOCK_TEXT = 5_000, 512 << 10
+#: Anchors per task of step 2, context bytes per task of step 3; anchors that a task of step 1 holds and one of step 2 compares at a time.
+BUCKET_ANCHORS, BUCKET_CONTEXTS, TASK_ANCHORS, MEET_ANCHORS = 300_000, 8 << 20, 150_000, 60_000
 _SCAN_BYTES = 256 << 10
 
 
@@ -119,7 +119,8 @@ def _anchor_rows(rows: DataFrame, span: int, gram: int, parts: int) -> DataFrame
     """Step 1: covered runs of the task, and packed anchors by bucket."""
     schema = f"{_RUN}, {_PACKED}"
 
-    def settle(got: dict[str, np.ndarray], owner: np.ndarray):
+    def settle(held: list[dict[str, np.ndarray]], owners: list[np.ndarray]):
+        got, owner = {k: np.concatenate([x.pop(k) for x in held]) for k in list(held[0])}, np.concatenate(owners)
         order = np.lexsort((got["c"], got["h"]))
         h, c = got["h"][order], got["c"][order]
         new = np.ones(len(h), bool)
@@ -152,11 +153,11 @@ def _anchor_rows(rows: DataFrame, span: int, gram: int, parts: int) -> DataFrame
                 n += len(row)
             seen += batch.num_rows
             if n > min(TASK_ANCHORS, 2 * BUCKET_ANCHORS):
-                yield from settle({k: np.concatenate([x[k] for x in held]) for k in held[0]}, np.concatenate(owners))
+                yield from settle(held, owners)
                 held, owners, n = [], [], 0
                 give_back()
         if held:
-            yield from settle({k: np.concatenate([x[k] for x in held]) for k in held[0]}, np.concatenate(owners))
+            yield from settle(held, owners)
         held.clear()
         give_back()
 
@@ -167,8 +168,7 @@ def _meet(packed: DataFrame, span: int) -> DataFrame:
     """Step 2: covered runs (need null), and contexts whose windows must be compared (need 1: not settled yet, 0: to compare with)."""
     schema = f"{_RUN}, h long, ahead int, need int, hot int"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = {k: np.frombuffer(b"".join(pdf[f"p_{k}"]), t) for k, t in _ARRAYS.items()}
+    def meet(got: dict[str, np.ndarray]):
         order = np.lexsort((got["c"], got["h"]))
         got = {k: v[order] for k, v in got.items()}
         h, c = got["h"], got["c"]
@@ -182,18 +182,27 @@ def _meet(packed: DataFrame, span: int) -> DataFrame:
         contexts = np.bincount(anchor[new])[anchor]
         repeated = size[group] > 1
         end = got["start"] + got["size"].astype(np.int32) - 1 + span
-        base = {"kid": got["kid"], "th": got["th"], "start": got["start"], "end": end, "h": h.astype(np.int64), "ahead": got["ahead"].astype(np.int32)}
+        base = {"kid": got["kid"], "th": got["th"], "start": got["start"], "end": end, "h": h.view(np.int64), "ahead": got["ahead"].astype(np.int32)}
         covered = repeated & (got["done"] == 0)
         ask = (contexts > 1) & new
+        yield _batch(schema, {k: v[covered] for k, v in base.items()})
+        need, hot = (~repeated & (got["done"] == 0)).astype(np.int32), (contexts > HOT_CONTEXTS).astype(np.int32)
+        yield _batch(schema, {k: v[ask] for k, v in (base | {"need": need, "hot": hot}).items()})
+
+    def run(table):
+        # The arrays are views of the received columns; anchors of equal hash stay together.
+        got = {k: text_view(table.column(f"p_{k}"))[0].view(t) for k, t in _ARRAYS.items()}
+        parts = -(-len(got["h"]) // MEET_ANCHORS)
+        part = ((mix(got["h"]) >> U64(32)) % U64(parts)).astype(np.int32)
         out = []
-        for mask, more in ((covered, {"need": None, "hot": None}), (ask, {"need": (~repeated & (got["done"] == 0)).astype(np.int32)[ask], "hot": (contexts > HOT_CONTEXTS).astype(np.int32)[ask]})):
-            cols = {k: v[mask] for k, v in base.items()} | more
-            out.append(pd.DataFrame(cols).astype({"need": "Int32", "hot": "Int32"}))
-        del got, base, cols
+        for i in range(parts):
+            own = np.flatnonzero(part == i)
+            out += meet({k: v[own] for k, v in got.items()})
+        del got, part, table
         give_back()
-        return pd.concat(out, ignore_index=True)
+        return pa.Table.from_batches(out)
 
-    return packed.groupBy("bucket").applyInPandas(run, schema)
+    return packed.groupBy("bucket").applyInArrow(run, schema)
 
 
 def _with_texts(texts: DataFrame, per_text: DataFrame, bytes_: int, how: str) -> DataFrame:
@@ -253,9 +262,9 @@ def _sort_blocks(packed: DataFrame, span: int) -> DataFrame:
         start = (pos - at[owner] + got["start"][owner])[hit]
         return merge_runs(owner[hit], start, start + span)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = {k: np.frombuffer(b"".join(pdf[f"p_{k}"]), t) for k, t in _CONTEXT.items()}
-        text = np.frombuffer(b"".join(pdf["p_text"]), np.uint8)
+    def run(table):
+        got = {k: text_view(table.column(f"p_{k}"))[0].view(t) for k, t in _CONTEXT.items()}
+        text = text_view(table.column("p_text"))[0]
         first = np.cumsum(got["length"], dtype=np.int64) - got["length"]
         order = np.argsort(got["h"], kind="stable")
         got, first = {k: v[order] for k, v in got.items()}, first[order]
@@ -267,12 +276,13 @@ def _sort_blocks(packed: DataFrame, span: int) -> DataFrame:
             own = slice(edge[i], edge[z])
             mine = {k: v[own] for k, v in got.items()}
             o, s, e = block(mine, text, first[own])
-            out.append(pd.DataFrame({"kid": mine["kid"][o], "th": mine["th"][o], "start": s, "end": e}))
+            out.append(_batch(_RUN, {"kid": mine["kid"][o], "th": mine["th"][o], "start": s.astype(np.int32), "end": e.astype(np.int32)}))
             i = z
+        del got, first, text, table
         give_back()
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"kid": [], "th": [], "start": [], "end": []})
+        return pa.Table.from_batches(out)
 
-    return packed.groupBy("bucket").applyInPandas(run, _RUN)
+    return packed.groupBy("bucket").applyInArrow(run, _RUN)
 
 
 def _hot_windows(beside: DataFrame, span: int, parts: int) -> DataFrame:
@@ -359,8 +369,11 @@ def repeated_runs(texts: DataFrame, span: int, gram: int) -> DataFrame:
     return stage(grouped.mapInArrow(unite, "kid long, th long, runs array<struct<start:int,end:int>>"), "op4-runs")
 
 
-def dedup(docs: DataFrame, id_col="doc_id", text_col="text", span=200, gram=96, extra: tuple[str, ...] = ()) -> DataFrame:
-    """id, kept (the remaining bytes), n_bytes and runs (removed, merged, in order) per row, and the columns of ``extra``."""
+def dedup(docs: DataFrame, id_col="doc_id", text_col="text", span=200, gram=96, extra: tuple[str, ...] = (), as_text=False) -> DataFrame:
+    """id, kept (the remaining bytes), n_bytes and runs (removed, merged, in order) per row, and the columns of ``extra``.
+
+    ``as_text``: kept is a string; a character of which only some bytes were cut goes whole.
+    """
     texts = keyed(docs, id_col, text_col)
     runs = repeated_runs(texts, span, gram)
     total = runs.agg(F.count("*").alias("n"), F.sum(F.size("runs")).alias("runs")).first()
@@ -368,7 +381,7 @@ def dedup(docs: DataFrame, id_col="doc_id", text_col="text", span=200, gram=96,
     beside = _with_texts(rows, runs, 48 * (total["n"] or 0) + 16 * (total["runs"] or 0), "left").select("kid", "text", "runs", *extra)
 
     def cut(batches):
-        for batch, buf, off in blocks(batches, "text"):
+        for batch, buf, off in blocks(batches, "text", _SCAN_BYTES):
             lists = batch.column("runs")
             edge = np.zeros(len(buf) + 1, np.int32)
             n = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -379,10 +392,12 @@ def dedup(docs: DataFrame, id_col="doc_id", text_col="text", span=200, gram=96,
             keep = np.cumsum(edge[:-1]) == 0
             left = np.concatenate(([0], np.cumsum(keep)))[off].astype(np.int32)
             kept = pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(left), pa.py_buffer(buf[keep])])
+            if as_text:
+                kept = pa.array([x.as_py().decode("utf-8", "ignore") for x in kept], pa.string())
             cells = {"kept": kept, "n_bytes": pa.array(np.diff(off), pa.int64()), "runs": lists}
             yield pa.RecordBatch.from_arrays([cells.get(c, batch.column(c) if c in batch.schema.names else None) for c in names], names=names)
 
-    kinds = {"kid": "bigint", "kept": "binary", "n_bytes": "bigint", "runs": "array<struct<start:int,end:int>>"} | {c: rows.schema[c].dataType.simpleString() for c in extra}
+    kinds = {"kid": "bigint", "kept": "string" if as_text else "binary", "n_bytes": "bigint", "runs": "array<struct<start:int,end:int>>"} | {c: rows.schema[c].dataType.simpleString() for c in extra}
     names = list(kinds)
     out = beside.mapInArrow(cut, ", ".join(f"`{c}` {k}" for c, k in kinds.items()))
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")

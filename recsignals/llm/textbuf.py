@@ -47,7 +47,7 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, BLOCK_BYTES + 1)
+            size = (1 << max((n - 2).bit_length(), 16)) + 1  # texts of a block, or a longer one
             for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
                 a = np.full(size, base & (2**64 - 1), dtype=U64)
                 a[0] = 1

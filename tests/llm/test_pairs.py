@@ -4,6 +4,8 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +159,40 @@ def test_anchors_are_held_in_bounded_runs(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "".join(rng.choices("abcdefgh ", k=10_000))) for i in range(60)], "doc_id long, text string").coalesce(1)
     rows = op._anchor_rows(keyed(docs, "doc_id", "text"), 200, 96, 1).filter("bucket is not null").collect()
     assert len(rows) > 2 and max(len(r.p_h) // 8 for r in rows) < 3_000
+
+
+def test_anchors_meet_in_bounded_parts(monkeypatch):
+    from recsignals.llm import op04_suffix_dedup as op
+
+    class Packed:  # hands over the function that works on a bucket
+        def groupBy(self, _):
+            return self
+
+        def applyInArrow(self, run, _):
+            return run
+
+    rng = np.random.default_rng(3)
+    n = 4_000
+    cols = {"h": rng.integers(0, 900, n), "c": rng.integers(0, 3, n), "kid": np.arange(n), "th": np.arange(n) * 7, "start": rng.integers(0, 999, n), "size": rng.integers(1, 99, n), "ahead": rng.integers(0, 99, n), "done": rng.integers(0, 2, n)}
+    got = {f"p_{k}": [cols[k][a : a + 1_000].astype(t).tobytes() for a in range(0, n, 1_000)] for k, t in op._ARRAYS.items()}
+    bucket = pa.table({k: pa.array(v, pa.binary()) for k, v in got.items()})
+    seen = []
+    sort = np.lexsort
+    monkeypatch.setattr(op.np, "lexsort", lambda keys: seen.append(len(keys[0])) or sort(keys))
+    rows = {}
+    for limit in (n, 400):
+        monkeypatch.setattr(op, "MEET_ANCHORS", limit)
+        seen.clear()
+        rows[limit] = sorted(map(repr, op._meet(Packed(), 200)(bucket).drop_columns(["kid", "th", "start", "end", "ahead"]).to_pylist()))
+    assert len(seen) == 10 and max(seen) < 600 and sum(seen) == n
+    assert rows[n] == rows[400] and len(rows[n]) > 2_000
+
+
+def test_removal_and_decoding_share_a_worker(spark):
+    import corpus_pipeline
+
+    same = "äöü€" * 60
+    docs = spark.createDataFrame([(1, "x" + same, 5, "a"), (2, "yé" + same, 6, "b"), (3, None, None, "c")], "doc_id long, text string, n_chars int, other string")
+    out = corpus_pipeline.suffix_dedup(spark, docs, "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, out.collect())) == [(1, "x", 1, "a"), (2, "yé", 2, "b"), (3, "", 0, "c")]
