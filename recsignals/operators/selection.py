@@ -25,8 +25,11 @@ BLOCK_COLUMNS, BLOCK_ROWS = 64, 4_096
 def gram(df: DataFrame, cols: list[str]) -> np.ndarray:
     """(4, k, k): per pair the count, the sum of the row's column, the sum of its squares and the cross products, over the
     rows where both columns have a finite value. Sums are relative to the columns' means."""
+    from recsignals.session import stage
+
     k = len(cols)
-    x = df.select(*[F.when(F.abs(F.col(f"`{c}`").cast("double")) < float("inf"), F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    # stored, since the means and the sums each read it
+    x = stage(df.select(*[F.when(F.abs(F.col(f"`{c}`").cast("double")) < float("inf"), F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(cols)]), "gram")
     means = x.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(k)]).first()
     shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
 
